@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import STOPWORDS
 from ..functions.text import is_term, raw_words
-from .stems import with_stem
+from .stems import stem_of
 
 
 def text_terms(
@@ -22,9 +22,7 @@ def text_terms(
     """Prepared terms of each text, one row per occurrence: ``keys, position, term``."""
     words = texts.select(*keys, F.posexplode(raw_words(F.col(text_col))).alias("position", "term"))
     words = words.filter(is_term(F.col("term"), stopwords))
-    if stem:
-        words = with_stem(words, "term", "term")
-    return words.select(*keys, "position", "term")
+    return words.select(*keys, "position", (stem_of(F.col("term")) if stem else F.col("term")).alias("term"))
 
 
 def analyze(

@@ -15,7 +15,7 @@ from ..index import Index
 from .analysis import analyze
 from .joins import fits_broadcast, join_small_or_hot
 from .lookups import documents_not_in, term_documents
-from .stems import with_stem
+from .stems import stem_of
 
 CONNECTIVES = ("and", "or", "not")
 # All-negative clauses are handed to the documents in packs of at most this many.
@@ -98,8 +98,8 @@ def prepare_clauses(clauses: DataFrame, stem: bool = False, stopwords: Iterable[
     operand = F.when(F.size(kept) == 1, F.get(kept, F.lit(0))).otherwise(
         F.raise_error(F.concat(F.lit("operand is a stopword or not a term: "), F.coalesce("term", F.lit("null"))))
     )
-    prepared = clauses.select("query_id", "clause_id", operand.alias("term"), "negated")
-    return with_stem(prepared, "term", "term") if stem else prepared
+    term = stem_of(operand) if stem else operand
+    return clauses.select("query_id", "clause_id", term.alias("term"), "negated")
 
 
 def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:

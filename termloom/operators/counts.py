@@ -31,11 +31,9 @@ def term_counts(
     )
     term = F.when(is_term(F.col("word"), stopwords), F.col("word"))
     counts = words.select("doc_id", term.alias("term")).groupBy("doc_id", "term").agg(F.count("term").alias("tf"))
-    if stem:
-        counts = stem_counts(counts)
-    if keep_empty:
-        return counts
-    return counts.filter(F.col("term").isNotNull())
+    if not keep_empty:
+        counts = counts.filter(F.col("term").isNotNull())
+    return stem_counts(counts) if stem else counts
 
 
 def with_norms(counts: DataFrame) -> DataFrame:

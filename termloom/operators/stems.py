@@ -1,11 +1,10 @@
-"""English stemming (Porter2) as native column expressions over a frame of terms.
-
-Each step is a projection of its own that refers to the columns of the step before, so the plan stays linear and
-inside generated code. Apply it to distinct terms, not to every token: see :func:`stem_counts`.
-"""
+"""English stemming (Porter2) as one native column expression. Apply it to counted terms, not to every token."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,12 +39,17 @@ def _replace_longest(word: Column, table: dict[str, str], condition) -> Column:
     return result.otherwise(word)
 
 
+def _ends(word: Column, *suffixes: str) -> Column:
+    """Whether the word ends in one of the suffixes; far cheaper than a regular expression."""
+    return reduce(lambda a, b: a | b, [F.endswith(word, F.lit(suffix)) for suffix in suffixes])
+
+
 def _step_1a(w: Column) -> Column:
     ies = F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1))
     return (
-        F.when(F.endswith(w, F.lit("sses")), _cut(w, 2))
-        .when(w.rlike("(ied|ies)$"), ies)
-        .when(w.rlike("(us|ss)$"), w)
+        F.when(_ends(w, "sses"), _cut(w, 2))
+        .when(_ends(w, "ied", "ies"), ies)
+        .when(~_ends(w, "s") | _ends(w, "us", "ss"), w)
         .when(w.rlike(f"{VOWEL}.+s$"), _cut(w, 1))
         .otherwise(w)
     )
@@ -54,82 +58,123 @@ def _step_1a(w: Column) -> Column:
 def _step_1b_cut(w: Column) -> Column:
     """The word without a removable ed/edly/ing/ingly, null when there is none."""
     bare = F.regexp_replace(w, "(ingly|edly|ing|ed)$", "")
-    removable = w.rlike("(ingly|edly|ing|ed)$") & ~w.rlike("eed(ly)?$") & bare.rlike(VOWEL)
-    return F.when(removable, bare)
+    candidate = _ends(w, "ed", "ing", "edly", "ingly") & ~_ends(w, "eed", "eedly")
+    return F.when(candidate, F.when(bare.rlike(VOWEL), bare))
 
 
-def _step_1b(w: Column, bare: Column) -> Column:
-    eed = F.regexp_replace(w, "eed(ly)?$", "ee")
-    in_r1 = F.when(F.endswith(w, F.lit("ly")), _within(w, "eedly", F.col("_r1"))).otherwise(_within(w, "eed", F.col("_r1")))
+def _step_1b(w: Column, bare: Column, r1: Column) -> Column:
+    eed = F.when(_ends(w, "ly"), _cut(w, 3)).otherwise(_cut(w, 1))
+    in_r1 = F.when(_ends(w, "ly"), _within(w, "eedly", r1)).otherwise(_within(w, "eed", r1))
     mended = (
-        F.when(bare.rlike("(at|bl|iz)$"), F.concat(bare, F.lit("e")))
-        .when(bare.rlike(f"({'|'.join(V.STEM_DOUBLES)})$"), _cut(bare, 1))
-        .when((F.length(bare) <= F.col("_r1")) & bare.rlike(SHORT_END), F.concat(bare, F.lit("e")))
+        F.when(_ends(bare, "at", "bl", "iz"), F.concat(bare, F.lit("e")))
+        .when(_ends(bare, *V.STEM_DOUBLES), _cut(bare, 1))
+        .when((F.length(bare) <= r1) & bare.rlike(SHORT_END), F.concat(bare, F.lit("e")))
         .otherwise(bare)
     )
-    return F.when(w.rlike("eed(ly)?$"), F.when(in_r1, eed).otherwise(w)).when(bare.isNotNull(), mended).otherwise(w)
+    return F.when(bare.isNotNull(), mended).when(_ends(w, "eed", "eedly") & in_r1, eed).otherwise(w)
+
+
+def _step_1c(w: Column) -> Column:
+    turned = F.regexp_replace(w, f"^(.+{CONSONANT})[yY]$", "$1i")
+    return F.when(_ends(w, "y", "Y"), turned).otherwise(w)
 
 
-def _step_2(w: Column) -> Column:
+def _step_2(w: Column, r1: Column) -> Column:
     def holds(suffix: str) -> Column:
-        inside = _within(w, suffix, F.col("_r1"))
+        inside = _within(w, suffix, r1)
         if suffix == "ogi":
-            return inside & F.endswith(w, F.lit("logi"))
+            return inside & _ends(w, "logi")
         if suffix == "li":
-            return inside & w.rlike(f"[{V.STEM_LI_ENDINGS}]li$")
+            return inside & _ends(w, *[f"{letter}li" for letter in V.STEM_LI_ENDINGS])
         return inside
 
     return _replace_longest(w, V.STEM_STEP_2, holds)
 
 
-def _step_3(w: Column) -> Column:
-    return _replace_longest(w, V.STEM_STEP_3, lambda s: _within(w, s, F.col("_r2" if s == "ative" else "_r1")))
+def _step_3(w: Column, r1: Column, r2: Column) -> Column:
+    return _replace_longest(w, V.STEM_STEP_3, lambda s: _within(w, s, r2 if s == "ative" else r1))
 
 
-def _step_4(w: Column) -> Column:
+def _step_4(w: Column, r2: Column) -> Column:
     def holds(suffix: str) -> Column:
-        inside = _within(w, suffix, F.col("_r2"))
-        return inside & w.rlike("[st]ion$") if suffix == "ion" else inside
+        inside = _within(w, suffix, r2)
+        return inside & _ends(w, "sion", "tion") if suffix == "ion" else inside
 
     return _replace_longest(w, dict.fromkeys(V.STEM_STEP_4, ""), holds)
 
 
-def _step_5(w: Column) -> Column:
+def _step_5(w: Column, r1: Column, r2: Column) -> Column:
     short_before = _cut(w, 1).rlike(SHORT_END)
-    drop_e = F.endswith(w, F.lit("e")) & (_within(w, "e", F.col("_r2")) | (_within(w, "e", F.col("_r1")) & ~short_before))
-    drop_l = F.endswith(w, F.lit("ll")) & _within(w, "l", F.col("_r2"))
+    drop_e = _ends(w, "e") & (_within(w, "e", r2) | (_within(w, "e", r1) & ~short_before))
+    drop_l = _ends(w, "ll") & _within(w, "l", r2)
     return F.when(drop_e | drop_l, _cut(w, 1)).otherwise(w)
 
 
-def with_stem(terms: DataFrame, term: str = "term", stem: str = "stem") -> DataFrame:
-    """Add the stem of a term column. Null stays null."""
-    raw = F.col(term)
-    df = terms.withColumn("_w", F.regexp_replace(F.regexp_replace(raw, "^y", "Y"), f"({VOWEL})y", "$1Y"))
-    prefix = f"^({'|'.join(V.STEM_R1_PREFIXES)})"
-    head = F.when(F.col("_w").rlike(prefix), F.regexp_extract(F.col("_w"), prefix, 0)).otherwise(F.regexp_extract(F.col("_w"), REGION, 0))
-    df = df.withColumn("_head", F.length(head))
-    df = df.withColumn("_r1", F.when(F.col("_head") == 0, F.length(F.col("_w"))).otherwise(F.col("_head")))
-    df = df.withColumn("_head", F.length(F.regexp_extract(F.substr(F.col("_w"), F.col("_r1") + 1), REGION, 0)))
-    df = df.withColumn("_r2", F.when(F.col("_head") == 0, F.length(F.col("_w"))).otherwise(F.col("_r1") + F.col("_head")))
-    df = df.withColumn("_w", _step_1a(F.col("_w")))
-    df = df.withColumn("_early", F.when(F.col("_w").isin(list(V.STEM_STOP_AFTER_1A)), F.col("_w")))
-    df = df.withColumn("_bare", _step_1b_cut(F.col("_w")))
-    df = df.withColumn("_w", _step_1b(F.col("_w"), F.col("_bare")))
-    df = df.withColumn("_w", F.regexp_replace(F.col("_w"), f"^(.+{CONSONANT})[yY]$", "$1i"))
-    for step in (_step_2, _step_3, _step_4, _step_5):
-        df = df.withColumn("_w", step(F.col("_w")))
-    exceptions = F.create_map(*[F.lit(x) for pair in V.STEM_EXCEPTIONS.items() for x in pair])
-    result = (
-        F.when(F.length(raw) <= 2, raw)
-        .when(raw.isin(list(V.STEM_EXCEPTIONS)), exceptions[raw])
-        .otherwise(F.coalesce(F.col("_early"), F.regexp_replace(F.col("_w"), "Y", "y")))
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _region_end(word: Column) -> Column:
+    """Length up to the start of the region after the first consonant that follows a vowel."""
+    head = F.length(F.regexp_extract(word, REGION, 0))
+    return F.when(head == 0, F.length(word)).otherwise(head)
+
+
+def _region_1(word: Column) -> Column:
+    special = [F.when(F.startswith(word, F.lit(prefix)), F.lit(len(prefix))) for prefix in V.STEM_R1_PREFIXES]
+    return F.coalesce(*special, _region_end(word))
+
+
+def _from_step_1b(w: Column, r1: Column, r2: Column) -> Column:
+    ended = _bind(_step_1b_cut(w), lambda bare: _step_1b(w, bare, r1))
+    with_i = _bind(ended, _step_1c)
+    suffixed = _bind(
+        with_i,
+        lambda b: F.when(F.length(b) - 2 < r1, b).otherwise(
+            _bind(_step_2(b, r1), lambda c: _bind(_step_3(c, r1, r2), lambda d: _step_4(d, r2)))
+        ),
+    )
+    return _bind(suffixed, lambda e: F.replace(_step_5(e, r1, r2), F.lit("Y"), F.lit("y")))
+
+
+def _by_steps(marked: Column) -> Column:
+    return _bind(
+        _region_1(marked),
+        lambda r1: _bind(
+            r1 + _region_end(F.substr(marked, r1 + 1)),
+            lambda r2: _bind(
+                _step_1a(marked),
+                lambda w: F.when(w.isin(list(V.STEM_STOP_AFTER_1A)), w).otherwise(_from_step_1b(w, r1, r2)),
+            ),
+        ),
     )
-    return df.withColumn(stem, result).drop("_w", "_head", "_r1", "_r2", "_early", "_bare")
+
+
+def stem_of(term: Column) -> Column:
+    """The stem of a prepared term; null stays null.
+
+    Every step is bound to a lambda variable, so the expression grows with the number of steps only, and filters on
+    the stem can be pushed down without multiplying it.
+    """
+    exceptions = F.create_map(*[F.lit(x) for pair in V.STEM_EXCEPTIONS.items() for x in pair])
+
+    def stemmed(raw: Column) -> Column:
+        with_y = F.regexp_replace(F.regexp_replace(raw, "^y", "Y"), f"({VOWEL})y", "$1Y")
+        marked = F.when(F.contains(raw, F.lit("y")), with_y).otherwise(raw)
+        return (
+            F.when(F.length(raw) <= 2, raw)
+            .when(raw.isin(list(V.STEM_EXCEPTIONS)), exceptions[raw])
+            .otherwise(_bind(marked, _by_steps))
+        )
+
+    return F.when(term.isNotNull(), _bind(term, stemmed))
 
 
 def stem_vocabulary(terms: DataFrame) -> DataFrame:
     """``term, stem`` for the distinct terms of a frame with a ``term`` column."""
-    return with_stem(terms.select("term").filter(F.col("term").isNotNull()).distinct())
+    distinct = terms.select("term").filter(F.col("term").isNotNull()).distinct()
+    return distinct.select("term", stem_of(F.col("term")).alias("stem"))
 
 
 def stem_counts(counts: DataFrame) -> DataFrame:
@@ -139,8 +184,8 @@ def stem_counts(counts: DataFrame) -> DataFrame:
     looking stems up in a vocabulary would shuffle every posting by term, hot terms included.
     """
     return (
-        with_stem(counts, "term", "_stem")
-        .groupBy("doc_id", F.col("_stem").alias("term"))
+        counts.select("doc_id", stem_of(F.col("term")).alias("term"), "tf")
+        .groupBy("doc_id", "term")
         .agg(F.sum("tf").alias("tf"))
         .select("doc_id", "term", "tf")
     )
