@@ -29,7 +29,8 @@ def analyze(
     spark: SparkSession, texts: list[str], stem: bool = False, stopwords: Iterable[str] = STOPWORDS
 ) -> list[list[str]]:
     """Prepared terms of a few query strings, in order. The result is no longer than the strings themselves."""
-    frame = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    listed = F.array(*[F.lit(text) for text in texts])
+    frame = spark.range(1, numPartitions=1).select(F.posexplode(listed).alias("n", "text"))
     terms: list[list[str]] = [[] for _ in texts]
     for row in sorted(text_terms(frame, ["n"], stem=stem, stopwords=stopwords).collect()):
         terms[row["n"]].append(row["term"])

@@ -50,7 +50,7 @@ qt AS (SELECT {keys}, term, count(*) AS qtf FROM (SELECT {keys}, unnest({words('
   WHERE term NOT IN ({STOP}) GROUP BY ALL),
 hits AS (SELECT {keys}, doc_id, sum(qtf * {WEIGHT} * idf) AS s FROM tc JOIN qt USING (term) JOIN idf USING (term) GROUP BY ALL),
 ranked AS (SELECT {keys}, doc_id, s / l_d AS score FROM hits JOIN norms USING (doc_id)),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, doc_id) AS rank FROM ranked)
+numbered AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY round(score, 9) DESC, doc_id) AS rank FROM ranked)
 SELECT {keys}, doc_id, round(score, 6) AS score, rank FROM numbered WHERE {keep}"""
 
 
@@ -107,8 +107,8 @@ parts AS (SELECT *, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*') AS
   regexp_replace(url, '[?#].*$', '', 's') AS page, regexp_extract(href, '^[^?#]*') AS path, regexp_extract(href, '[?#].*$', 0, 's') AS tail FROM followable),
 paths AS (SELECT *, CASE WHEN starts_with(path, '/') THEN path
   ELSE regexp_replace(coalesce(nullif(substr(page, length(origin) + 1), ''), '/'), '[^/]*$', '') || path END AS joined FROM parts),
-dots AS (SELECT *, list_reduce(list_prepend([], list_transform(string_split(joined, '/'), s -> [s])),
-  (acc, s) -> CASE WHEN s[1] = '..' THEN acc[:-2] WHEN s[1] = '.' THEN acc ELSE list_concat(acc, s) END) AS kept FROM paths),
+dots AS (SELECT *, list_reduce(list_prepend([], list_transform(string_split(joined, '/'), lambda s: [s])),
+  lambda acc, s: CASE WHEN s[1] = '..' THEN acc[:-2] WHEN s[1] = '.' THEN acc ELSE list_concat(acc, s) END) AS kept FROM paths),
 resolved AS (SELECT page_id, url, href, CASE
   WHEN starts_with(href, 'http') OR regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
   WHEN starts_with(href, '//') THEN scheme || href
@@ -207,8 +207,8 @@ SELECT CAST(1 AS BIGINT) AS query_id, doc_id FROM one UNION ALL SELECT CAST(2 AS
     "vector_search": f"{SEARCH} {ONE} WHERE score >= 0.2",
     "vector_above": f"{SEARCH} {ONE} WHERE score >= 0.5",
     "vector_all": f"{SEARCH} {ONE}",
-    "vector_ranked": f"{SEARCH} SELECT doc_id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scores",
-    "vector_topk": f"{SEARCH} {ONE} ORDER BY scores.score DESC, doc_id LIMIT 10",
+    "vector_ranked": f"{SEARCH} SELECT doc_id, round(score, 6) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scores",
+    "vector_topk": f"{SEARCH} {ONE} ORDER BY round(scores.score, 9) DESC, doc_id LIMIT 10",
     "vector_repeat": f"{scored({'retion': 2})} {ONE}",
     "vector_skip": f"{scored({'retion': 1})} {ONE}",
     "vector_bulk": bulk("SELECT item_id AS query_id, text FROM benchmark", "query_id", "rank <= 3"),

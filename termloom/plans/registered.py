@@ -66,12 +66,12 @@ def _once(spark: SparkSession, folder: str, what: str, make: Callable[[], object
 def stored_index(spark: SparkSession, folder: str, stem: bool = False) -> Index:
     """The index of ``documents``, written to the shared folder on first use and read by all searches."""
 
-    def make() -> str:
+    def make() -> Index:
         path = new_path(spark, "index")
         add_documents(documents(spark, folder), path, "documents", stem=stem)
-        return path
+        return open_index(spark, path)
 
-    return open_index(spark, _once(spark, folder, f"index stem={stem}", make))
+    return _once(spark, folder, f"index stem={stem}", make)
 
 
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -533,7 +533,8 @@ def stream_index(spark, folder):
     """Documents arrive as a stream; the index ends up as the batch one."""
     path = new_path(spark, "index")
     schema = documents(spark, folder).schema
-    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/documents.parquet")
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+    arriving = files.option("maxFilesPerTrigger", 1).parquet(folder)
     keep_current(arriving, path, new_path(spark, "stream")).awaitTermination()
     index = open_index(spark, path)
     n_terms = index.postings.groupBy("doc_id").agg(F.count("*").alias("n_terms"))
