@@ -20,11 +20,11 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROAD
     return size["n"] <= rows and size["chars"] <= chars
 
 
-def hot_keys(df: DataFrame, key: str, cells: str, min_cell_rows: int = MIN_CELL_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, cells: str, min_cell_rows: int | None = None) -> DataFrame:
     """Keys with too many rows for one task, and into how many cells each is to be cut."""
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("_total")).scalar()
-    limit = F.greatest(F.lit(min_cell_rows), F.ceil(total / F.lit(HOT_SHARE)))
+    limit = F.greatest(F.lit(min_cell_rows or MIN_CELL_ROWS), F.ceil(total / F.lit(HOT_SHARE)))
     return counts.filter(F.col("_rows") > limit).select(key, F.ceil(F.col("_rows") / limit).cast("int").alias(cells))
 
 
@@ -42,7 +42,7 @@ def join_hot(
     key: str,
     left_id: list[str],
     right_id: list[str] | None = None,
-    min_cell_rows: int = MIN_CELL_ROWS,
+    min_cell_rows: int | None = None,
 ) -> DataFrame:
     """Inner equi-join in which hot keys are cut into cells on both sides.
 

@@ -69,7 +69,7 @@ def test_repeated_ids_keep_the_first(spark, tmp_path):
 
 
 def test_folder(spark, tmp_path):
-    for folder, name, text in [("a", "x", "storm wind"), ("b", "x", "other"), ("b", "y", "wind"), (".", "z.html", "")]:
+    for folder, name, text in [("a", "x", "storm wind"), ("b", "x", "other"), ("b", "y", "wind"), (".", "z.html", "\n")]:
         os.makedirs(tmp_path / "in" / folder, exist_ok=True)
         (tmp_path / "in" / folder / name).write_text(text, encoding="utf-8")
     index = index_folder(spark, str(tmp_path / "in"), str(tmp_path / "ix"), "a")
