@@ -17,7 +17,11 @@ SEGMENT_DOCS = 100_000
 
 
 def term_counts(
-    docs: DataFrame, stem: bool = False, stopwords: Iterable[str] = STOPWORDS, keep_empty: bool = False
+    docs: DataFrame,
+    stem: bool = False,
+    stopwords: Iterable[str] = STOPWORDS,
+    keep_empty: bool = False,
+    by_document: bool = False,
 ) -> DataFrame:
     """``doc_id, term, tf``. With ``keep_empty`` every document also has one row with a null term and tf 0.
 

@@ -62,7 +62,8 @@ def add_documents(
         docs = new_documents(docs, open_index(spark, path, without_load=load).doc_stats, order_by)
     elif order_by is not None:
         docs = new_documents(docs, docs.limit(0), order_by)
-    counted = stage(with_norms(term_counts(docs, keep_empty=True, **options)), "counted")
+    counts = term_counts(docs, keep_empty=True, by_document=order_by is not None, **options)
+    counted = stage(with_norms(counts), "counted")
     write_load(spark, index_frames(counted), path, load)
 
 
