@@ -74,6 +74,80 @@ def doc_set(condition: str) -> str:
     return holders(condition)
 
 
+# Stems
+
+
+def cut(n: int, word: str = "w") -> str:
+    return f"substr({word}, 1, length({word}) - {n})"
+
+
+def ends(*suffixes: str, word: str = "w") -> str:
+    return "(" + " OR ".join(f"ends_with({word}, '{x}')" for x in suffixes) + ")"
+
+
+def longest(table: dict[str, str], condition) -> str:
+    """CASE over suffixes, longest first: replaced if the condition holds, else the word stays."""
+    cases = [
+        f"WHEN ends_with(w, '{x}') THEN CASE WHEN {condition(x)} THEN {cut(len(x))} || '{table[x]}' ELSE w END"
+        for x in sorted(table, key=len, reverse=True)
+    ]
+    return "CASE " + " ".join(cases) + " ELSE w END"
+
+
+def inside(suffix: str, region: str) -> str:
+    return f"length(w) - {len(suffix)} >= {region}"
+
+
+def after_region(word: str) -> str:
+    head = f"length(regexp_extract({word}, '^[^aeiouy]*[aeiouy]+[^aeiouy]'))"
+    return f"CASE WHEN {head} = 0 THEN length({word}) ELSE {head} END"
+
+
+SHORT = "(^[aeiouy][^aeiouy]|[^aeiouy][aeiouy][^aeiouywxY])$"
+STEP_2_ALSO = {"ogi": ends("logi"), "li": ends(*[f"{c}li" for c in V.STEM_LI_ENDINGS])}
+
+
+def stems(source: str) -> str:
+    """CTEs ending in stems (term, stem) for the distinct terms of a source."""
+    listed = {k: ", ".join(f"'{x}'" for x in v) for k, v in {"early": V.STEM_STOP_AFTER_1A, "odd": V.STEM_EXCEPTIONS}.items()}
+    odd = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.STEM_EXCEPTIONS.items())
+    prefixes = " ".join(f"WHEN starts_with(w, '{x}') THEN {len(x)}" for x in V.STEM_R1_PREFIXES)
+    step_2 = longest(V.STEM_STEP_2, lambda x: inside(x, "r1") + (f" AND {STEP_2_ALSO[x]}" if x in STEP_2_ALSO else ""))
+    step_3 = longest(V.STEM_STEP_3, lambda x: inside(x, "r2" if x == "ative" else "r1"))
+    step_4 = longest(
+        dict.fromkeys(V.STEM_STEP_4, ""), lambda x: inside(x, "r2") + (f" AND {ends('sion', 'tion')}" if x == "ion" else "")
+    )
+    return rf"""s0 AS (SELECT term, regexp_replace(regexp_replace(term, '^y', 'Y'), '([aeiouy])y', '\1Y', 'g') AS w
+  FROM (SELECT DISTINCT term FROM {source})),
+s1 AS (SELECT *, CASE {prefixes} ELSE {after_region('w')} END AS r1 FROM s0),
+s2 AS (SELECT *, r1 + {after_region('substr(w, r1 + 1)')} AS r2 FROM s1),
+s3 AS (SELECT * REPLACE (CASE WHEN {ends('sses')} THEN {cut(2)}
+  WHEN {ends('ied', 'ies')} THEN CASE WHEN length(w) > 4 THEN {cut(2)} ELSE {cut(1)} END
+  WHEN {ends('us', 'ss')} THEN w WHEN regexp_matches(w, '[aeiouy].+s$') THEN {cut(1)} ELSE w END AS w) FROM s2),
+s4 AS (SELECT *, w IN ({listed['early']}) AS early, CASE WHEN {ends('ed', 'ing', 'edly', 'ingly')} AND NOT {ends('eed', 'eedly')}
+  AND regexp_matches(regexp_replace(w, '(ingly|edly|ing|ed)$', ''), '[aeiouy]') THEN regexp_replace(w, '(ingly|edly|ing|ed)$', '') END AS bare FROM s3),
+s5 AS (SELECT * REPLACE (CASE WHEN early THEN w
+  WHEN bare IS NOT NULL THEN CASE WHEN {ends('at', 'bl', 'iz', word='bare')} THEN bare || 'e'
+    WHEN {ends(*V.STEM_DOUBLES, word='bare')} THEN {cut(1, 'bare')}
+    WHEN length(bare) <= r1 AND regexp_matches(bare, '{SHORT}') THEN bare || 'e' ELSE bare END
+  WHEN ends_with(w, 'eed') AND {inside('eed', 'r1')} THEN {cut(1)} WHEN ends_with(w, 'eedly') AND {inside('eedly', 'r1')} THEN {cut(3)}
+  ELSE w END AS w) FROM s4),
+s6 AS (SELECT * REPLACE (regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\1i') AS w) FROM s5),
+s7 AS (SELECT * REPLACE ({step_2} AS w) FROM s6), s8 AS (SELECT * REPLACE ({step_3} AS w) FROM s7), s9 AS (SELECT * REPLACE ({step_4} AS w) FROM s8),
+s10 AS (SELECT * REPLACE (CASE WHEN {ends('e')} AND ({inside('e', 'r2')} OR ({inside('e', 'r1')} AND NOT regexp_matches({cut(1)}, '{SHORT}'))) THEN {cut(1)}
+  WHEN {ends('ll')} AND {inside('l', 'r2')} THEN {cut(1)} ELSE w END AS w) FROM s9),
+stems AS (SELECT s10.term, CASE WHEN length(s10.term) <= 2 THEN s10.term WHEN s10.term IN ({listed['odd']}) THEN CASE s10.term {odd} END
+  WHEN early THEN s3.w ELSE replace(s10.w, 'Y', 'y') END AS stem FROM s10 JOIN s3 ON s3.term = s10.term)"""
+
+
+STEM_TC = f"""WITH docs AS (SELECT doc_id, text FROM documents),
+tokens AS (SELECT doc_id, term FROM (SELECT doc_id, unnest({words('text')}) AS term FROM docs) WHERE term NOT IN ({STOP})),
+plain AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL),
+{stems('plain')},
+tc AS (SELECT doc_id, stem AS term, CAST(sum(tf) AS BIGINT) AS tf FROM plain JOIN stems USING (term) GROUP BY ALL)"""
+STEM_BASE = f"{STEM_TC},\n{NORMS}"
+
+
 # Pages and links
 
 HIDDEN = r"<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
@@ -165,6 +239,8 @@ WHERE term NOT IN ({STOP}) GROUP BY term""",
     "preprocess_tokens": f"{BASE} SELECT doc_id, term FROM tokens",
     "preprocess_queries": f"""SELECT conv_id, turn, term FROM (SELECT conv_id, turn, unnest({words('text')}) AS term FROM conversations)
 WHERE term NOT IN ({STOP})""",
+    "stem_vocabulary": f"{STEM_TC} SELECT term, stem FROM stems",
+    "stemmed_counts": f"{STEM_TC} SELECT doc_id, term, tf FROM tc",
     "pages_text": f"SELECT page_id, {PAGE_TEXT} AS text FROM pages",
     "pages_documents": f"SELECT url AS doc_id, {PAGE_TEXT} AS text FROM pages",
     "page_links": f"WITH {links('pages')} SELECT page_id, href FROM hrefs",
@@ -215,6 +291,8 @@ SELECT CAST(1 AS BIGINT) AS query_id, doc_id FROM one UNION ALL SELECT CAST(2 AS
     "vector_bulk_bucketed": bulk("SELECT item_id AS query_id, text FROM benchmark", "query_id", "rank <= 3"),
     "vector_bulk_ranked": bulk("SELECT item_id AS query_id, text FROM benchmark", "query_id", "score >= 0.2"),
     "vector_conversations": bulk("SELECT * FROM conversations WHERE role = 'user'", "conv_id, turn", "score >= 0.2 AND rank <= 5"),
+    "vector_stemmed": f"{scored({'tion': 1, 'ere': 1, 'ther': 1, 'and': 1}, STEM_BASE)} {ONE}",
+    "bool_stemmed": boolean(f"{has('tion')} AND NOT {has('ere')}", STEM_BASE),
     # Link graph and crawl
     "link_edges": f"WITH {LP_EDGES} SELECT src, dst FROM edges",
     "page_edges": f"WITH {edges('pages')} SELECT src, dst FROM edges",

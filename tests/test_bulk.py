@@ -96,3 +96,14 @@ def test_clause_operands_are_checked(spark, english):
     clauses = spark.createDataFrame([(1, 1, "the", False)], "query_id int, clause_id int, term string, negated boolean")
     with pytest.raises(Exception, match="stopword or not a term: the"):
         boolean_bulk(english, clauses).collect()
+
+
+def test_stems_looked_up_equal_stems_in_place(spark, english, monkeypatch):
+    from termloom.operators import stems
+
+    counts = english.postings.select("doc_id", "term", "tf")
+    expected = rows(stems.stem_counts(counts))
+    vocabulary = stems.stem_vocabulary(counts)
+    assert rows(stems.look_up_stems(counts, vocabulary).select("doc_id", "term", "tf")) == expected
+    monkeypatch.setattr(stems, "fits_broadcast", lambda *a, **k: False)
+    assert rows(stems.look_up_stems(counts, vocabulary).select("doc_id", "term", "tf")) == expected
