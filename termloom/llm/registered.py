@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
+from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .token_files import read_token_files, write_token_files
@@ -50,6 +51,11 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Group near-duplicate documents and keep one of each group."""
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Write the ids of all documents as plane-split shards, read them back."""
     shards = new_path(spark, "token-ids")
@@ -62,5 +68,6 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
 }

@@ -32,6 +32,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def stride(k: int) -> np.uint64:
+    """The k-th offset of a sequence of draws from one hash."""
+    return np.uint64(k * int(_MULTIPLIER) % (1 << 64))
+
+
 def _byte_values(lower: bool) -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     if lower:
@@ -155,10 +160,15 @@ def window_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first = np.flatnonzero(words.text[:n] == words.text[size - 1 :])
-    total = np.zeros(len(first), np.uint64)
-    for k in range(size):
-        total = (total + words.hash[first + k]) * _MULTIPLIER
-    return mix(total), first
+    return sequence_hash([words.hash[first + k] for k in range(size)]), first
+
+
+def sequence_hash(hashes: list[np.ndarray]) -> np.ndarray:
+    """One hash for each sequence whose k-th items are in ``hashes[k]``."""
+    total = np.zeros(len(hashes[0]), np.uint64)
+    for each in hashes:
+        total = (total + each) * _MULTIPLIER
+    return mix(total)
 
 
 def keyed(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
