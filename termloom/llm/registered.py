@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
+from .gam import classify
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_rules
@@ -41,6 +42,12 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Score the quality of every document, learning from three of four folds."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return classify(docs, labels, held_out=id_hash() % 4 == 2)
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pack all documents into windows of 2048 tokens."""
     return pack_documents(table(spark, folder, "documents"), default_tokenizer_file())
@@ -66,6 +73,7 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
