@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import CUT, IGNORED, LOWER, NORMALISATION, OTHER, RULES, SENTENCE_CUTS, SENTENCES, UPPER
+
 _HEX20 = "('0x' || substr(sha1(coalesce(html, '')), 5 * (k // 4) + 1, 5))::UBIGINT"
 _OP1 = f"""
 WITH p AS (
@@ -18,4 +20,54 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM p JOIN k USING (payload_digest, payload_bytes)
 """
 
-ORACLE: dict[str, str] = {"op1_warc": _OP1}
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _replacing(text: str, steps: tuple[tuple[str, str], ...]) -> str:
+    for pattern, by in steps:
+        by = by.replace("$", "\\").replace(CUT, "@CUT@")
+        text = f"regexp_replace({text}, {_literal(pattern)}, {_literal(by)}, 'g')".replace("'@CUT@", "chr(1) || '")
+    return text
+
+
+def _licences() -> str:
+    known = "MAP {" + ", ".join(f"{_literal(s)}: {_literal(name)}" for name, s in SENTENCES) + "}"
+    line = "array_to_string([concat('|', x, '|') FOR x IN ids], '')"
+    for licence, sequence in RULES:
+        line = f"replace({line}, {_literal(''.join(f'|{name}|' for name in sequence))}, {_literal('{' + licence + '}')})"
+    plain = f"replace(trim({_replacing('s', NORMALISATION)}), '_', '.')"
+    return f"""
+WITH known AS MATERIALIZED (SELECT {known} AS m),
+cut AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    string_split({_replacing(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')", SENTENCE_CUTS)}, chr(1)) AS parts
+  FROM documents
+), sentence AS (
+  SELECT r, i, parts[i] AS s FROM (SELECT r, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)
+), looked AS (
+  SELECT r, i, s, CASE WHEN regexp_matches({plain}, '{IGNORED}') THEN '' ELSE coalesce(m[{plain}], '{OTHER}') END AS name
+  FROM sentence, known
+), line AS (
+  SELECT r, i, 0 AS k, name FROM looked WHERE name <> '{OTHER}'
+  UNION ALL
+  SELECT r, i, k, CASE WHEN regexp_matches({plain}, '{IGNORED}') THEN '' ELSE coalesce(m[{plain}], '{OTHER}') END
+  FROM (SELECT r, i, k, string_split(s, chr(10))[k] AS s
+        FROM (SELECT r, i, s, unnest(range(1, len(string_split(s, chr(10))) + 1)) AS k FROM looked WHERE name = '{OTHER}')),
+    known
+), listed AS (
+  SELECT r, list(name ORDER BY i, k) FILTER (name <> '') AS ids FROM line GROUP BY r
+), matched AS (
+  SELECT doc_id, coalesce(ids, []) AS ids, {line} AS l FROM cut LEFT JOIN listed USING (r)
+), found AS (
+  SELECT doc_id, ids, l, regexp_extract_all(l, '\\{{([^}}]*)\\}}', 1) AS names FROM matched
+)
+SELECT doc_id, coalesce(array_to_string([x FOR x IN ids IF x <> '{OTHER}'], ','), '') AS sentence_ids,
+  coalesce(array_to_string([x FOR x, i IN names IF list_position(names, x) = i], ','), '') AS licences,
+  coalesce(array_to_string(regexp_extract_all(l, '\\|([a-z0-9+.]*[a-z0-9+])\\|', 1), ','), '') AS unmatched
+FROM found
+"""
+
+
+ORACLE: dict[str, str] = {"op1_warc": _OP1, "op9_licences": _licences()}

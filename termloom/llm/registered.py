@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_path
 from .gam import classify
+from .licenses import recognise_licences
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_rules
@@ -71,6 +72,11 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Recognise the licences of every document by sentence rules."""
+    return recognise_licences(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -78,4 +84,5 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
+    "op9_licences": op9_licences,
 }
