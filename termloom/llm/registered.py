@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_path
 from .gam import classify
+from .html_text import extract_text
 from .licenses import recognise_licences
 from .near_dup import near_duplicates
 from .packing import pack_documents
@@ -72,6 +73,11 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Extract the main text of every page."""
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Recognise the licences of every document by sentence rules."""
     return recognise_licences(table(spark, folder, "documents"))
@@ -84,5 +90,6 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
+    "op8_html_text": op8_html_text,
     "op9_licences": op9_licences,
 }
