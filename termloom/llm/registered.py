@@ -14,6 +14,7 @@ from .licenses import recognise_licences
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_rules
+from .suffix_tree import score_documents
 from .token_files import read_token_files, write_token_files
 from .tokens import default_tokenizer_file
 from .warc import mark_revisits, page_of_record_id, read_warc, write_warc
@@ -83,6 +84,11 @@ def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
     return recognise_licences(table(spark, folder, "documents"))
 
 
+def op10_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Score every document with a suffix tree learnt from six of seven folds."""
+    return score_documents(table(spark, folder, "documents"), held_out=id_hash() % 7 == 2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op7_token_files": op7_token_files,
     "op8_html_text": op8_html_text,
     "op9_licences": op9_licences,
+    "op10_suffix_tree": op10_suffix_tree,
 }
