@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
+from .decontaminate import contaminated
 from .gam import classify
 from .html_text import extract_text
 from .licenses import recognise_licences
@@ -51,6 +52,11 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classify(docs, labels, held_out=id_hash() % 4 == 2)
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Find every document that holds a copy of a benchmark item, exact or edited."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pack all documents into windows of 2048 tokens."""
     return pack_documents(table(spark, folder, "documents"), default_tokenizer_file())
@@ -92,6 +98,7 @@ def op10_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
