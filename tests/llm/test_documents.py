@@ -1,0 +1,341 @@
+"""Near duplicates, decontamination, licences, pages, and the suffix tree, each against brute force."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest_llm import shingles, words
+
+from termloom.llm import suffix_tree as st
+from termloom.llm.decontaminate import GAP, MATCH, MISMATCH, Items, align, bare_words, choose_seeds, contaminated, folded_groups
+from termloom.llm.html_text import content_root, extract_text, main_text, parse_page
+from termloom.llm.licenses import SENTENCES, anchors, recognise_licences
+from termloom.llm.near_dup import components, near_duplicates, shingle_sets, sketch_texts, super_minhash, union_find
+from termloom.llm.registered import id_hash
+from termloom.llm.words import text_groups
+
+
+def brute_groups(rows):
+    sets = {d: shingles(t) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = defaultdict(list)
+    for d in sets:
+        for s in sets[d]:
+            holders[s].append(d)
+    common = Counter((a, b) for h in holders.values() for i, a in enumerate(h) for b in h[i + 1 :])
+    for (a, b), n in common.items():
+        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    return {d: (len(sets[d]), root(d)) for d in sets}
+
+
+def test_groups_equal_brute_force(spark):
+    rnd = random.Random(4)
+    base = [[f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([4, 12, 60, 200]))] for _ in range(25)]
+    rows = []
+    for k, text in enumerate(base * 6):
+        text = list(text)
+        for _ in range(rnd.choice([0, 0, 1, 2, len(text) // 12])):
+            text[rnd.randrange(len(text))] = f"new{rnd.randrange(10**6)}"
+        rows.append((k, (" " if k % 2 else "\n").join(text).upper() if k % 5 == 0 else " ".join(text)))
+    # A chain in which neighbours are alike and the ends are not.
+    chain = [f"c{i}" for i in range(150)]
+    for k in range(40):
+        chain[(k * 11) % 150] = f"d{k}"
+        rows.append((200 + k, " ".join(chain)))
+    rows += [(300, None), (301, ""), (302, "x y"), (303, "X  y\n"), (304, "x y z")]
+    rnd.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_groups(rows)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found) and len(found) == len(rows)
+
+
+def test_awkward_documents(docs, no_docs):
+    found = near_duplicates(docs).collect()
+    assert len(found) == docs.count() and near_duplicates(no_docs).count() == 0
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[None]["component_id"] is None and by_id[None]["kept"]
+    assert by_id[6]["component_id"] == 5 and not by_id[6]["kept"] and by_id[3]["kept"]
+    assert all(by_id[k]["component_id"] == k and by_id[k]["n_shingles"] == 0 for k in (0, 1, 2))
+
+
+def test_super_minhash():
+    rng = np.random.default_rng(7)
+    errors = []
+    for overlap in (0.2, 0.5, 0.8):
+        for size in (3, 40, 700):
+            for _ in range(12):
+                both = int(size * overlap)
+                pool = rng.integers(1, 2**63, 2 * size - both).astype(np.uint64)
+                a, b = pool[:size], pool[size - both :]
+                s = super_minhash(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2)
+                assert (s != np.uint64(2**64 - 1)).all()
+                errors.append((s[0] == s[1]).mean() - both / len(pool))
+                alone = super_minhash(rng.permutation(a), np.zeros(len(a), np.int64), 1)
+                assert (alone[0] == s[0]).all()
+    # Independent hash functions would deviate by about 0.04 here.
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.035
+
+
+def test_equal_sets_have_equal_keys(texts):
+    (first, *_), = sketch_texts(pa.array(texts[:8])),
+    sizes, key_a, key_b, *_ = first
+    assert sizes.tolist() == [len(shingles(t)) for t in texts[:8]] and key_a[5] == key_a[6] and key_b[5] == key_b[6]
+    (group,) = text_groups(pa.array(["a b c d e f", "f e d c b a"]))
+    sets, bounds = shingle_sets(group)
+    assert len(set(sets.tolist())) == 4 and bounds.tolist() == [0, 2, 4]
+
+
+def test_components(spark):
+    rnd = random.Random(9)
+    edges = [(k, k + 1) for k in range(0, 120)] + [(500 - k, 499 - k) for k in range(60)] + [(1000, 7)]
+    edges += [(2000 + rnd.randrange(40), 2000 + rnd.randrange(40)) for _ in range(30)]
+    rnd.shuffle(edges)
+    expected = union_find([tuple(np.array(x) for x in zip(*edges))])
+    frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)
+    found = {r["doc_id"]: r["component_id"] for r in components(frame).collect()}
+    assert found == {k: v for k, v in expected.items() if k in found} and all(k == v for k, v in expected.items() if k not in found)
+    assert components(frame.filter("false")).count() == 0
+
+
+def brute_alignment(a, b):
+    best, above = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(max(0, above[j - 1] + (MATCH if x == y else MISMATCH), above[j] + GAP, row[-1] + GAP))
+        best, above = max(best, *row), row
+    return best
+
+
+def test_alignment_equals_brute_force():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(1, 5, (200, 11)).astype(np.uint64), rng.integers(1, 5, (200, 17)).astype(np.uint64)
+    score, matched, begin, end = align(a, b)
+    assert score.tolist() == [brute_alignment(x, y) for x, y in zip(a.tolist(), b.tolist())]
+    assert (matched * MATCH >= score).all() and (begin <= end).all()
+    nothing = align(np.full((1, 3), 1, np.uint64), np.full((1, 4), 2, np.uint64))
+    assert nothing[0][0] == 0
+
+
+def test_contamination(spark, docs, no_docs):
+    rnd = random.Random(6)
+    prose = lambda n: [f"{rnd.choice('bcdfg')}{rnd.randrange(4000)}" for _ in range(n)]
+    items = [(k, " ".join(prose(rnd.choice([12, 30, 45])))) for k in range(30)] + [(90, None), (91, ""), (92, "two words"), (None, "a b c d e")]
+    rows, expected = [], set()
+    for k in range(120):
+        text = prose(150)
+        if k % 3 == 0:
+            item = k % 30
+            copy = items[item][1].split()
+            if k % 2:
+                for i in range(4, len(copy), 9):
+                    copy[i] = "changed" if k % 4 else copy[i]
+                copy.insert(len(copy) // 2, "inserted")
+            copy[0] = copy[0].upper()
+            text[70:70] = [w + ("," if i % 7 == 3 else "") for i, w in enumerate(copy)]
+            expected.add((k, item))
+        rows.append((k, " ".join(text)))
+    rows += [(500 + k, items[4][1]) for k in range(40)]
+    expected |= {(500 + k, 4) for k in range(40)}
+    found = contaminated(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
+    assert found.filter("doc_id = 500").first()["score"] == 1.0
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert contaminated(docs, bench).count() == 0 and contaminated(no_docs, bench).count() == 0
+    assert contaminated(docs, bench.filter("false")).count() == 0
+
+
+def test_contamination_on_the_table(table):
+    docs, items = table("documents"), table("benchmark")
+    flat = lambda t: " ".join(words((t or "").lower()))
+    benches = {r["item_id"]: flat(r["text"]) for r in items.collect()}
+    exact = {(r["doc_id"], i) for r in docs.collect() for t in [flat(r["text"])] for i, b in benches.items() if b in t}
+    found = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()}
+    assert exact and exact <= found
+
+
+def test_seeds_are_rare_in_every_stretch():
+    items = Items.of([1], pa.array([" ".join("abcdefghijklmnop")]))
+    frequency = {int(g): (1000 if k % 6 else 1) for k, g in enumerate(items.grams)}
+    seeds = choose_seeds(items, frequency)
+    assert set(range(0, len(items.grams), 6)) <= set(seeds.tolist()) and len(seeds) < len(items.grams)
+    (group,) = folded_groups(pa.array(["(Größe!) --- ok."]))
+    assert bare_words(group).per_text.tolist() == [2]
+
+
+def test_licences(spark, docs, no_docs):
+    mit = "\n\n".join(
+        ["MIT License", "Copyright (c) 2020 Someone"]
+        + [s for name, s in SENTENCES if name in ("mit.grant", "mit.notice", "mit.warranty", "mit.liability")]
+    )
+    rows = [
+        (1, "Prose here\nReleased under the MIT License.\nmore prose"), (2, mit), (3, None), (4, ""), (5, "A license of our own."),
+        (6, "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance\nwith the License."),
+        (7, "This work is licensed under the GNU General Public License, version 3.\nLicensed under CC BY-NC 4.0. All rights reserved"),
+        (None, "LICENSED UNDER CC BY 4.0"),
+    ]
+    found = {r["doc_id"]: (r["licences"], r["unmatched"]) for r in recognise_licences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {
+        1: ("MIT", ""), 2: ("MIT", ""), 3: ("", ""), 4: ("", ""), 5: ("", ""), 6: ("Apache-2.0", "apache2.comply"),
+        7: ("GPL-3.0-only,CC-BY-NC-4.0,LicenseRef-all-rights-reserved", ""), None: ("CC-BY-4.0", ""),
+    }
+    assert recognise_licences(docs).count() == docs.count() and recognise_licences(no_docs).count() == 0
+    assert all(any(a in s.split() for a in anchors()) for _, s in SENTENCES)
+    plan = recognise_licences(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("", ""), ("just  text", "just text"), ("<p>a<p>b</p>c", "a\nb\nc"), ("a<br>b", "a\nb"),
+        ("<body><header>H</header><div class='cookie-notice'>c</div><article><header><h1>T</h1></header><p>a &amp; b <b>d</b></p>"
+         "<ul><li>x<li>y</ul><div id=comments><p>no</p></div></article><aside>s</aside></body>", "T\na & b d\nx\ny"),
+        ("<div><nav>n</nav>t &lt;x&gt; <!-- c --> u<script>if(a<b)'</p>'</script></div>", "t <x> u"),
+        ("<table><tr><td>1<td>2<tr><td>3</table>z", "1\n2\n3\nz"), ("<b>x<p>y</b>z", "x\ny\nz"), ("<p title='a>b'>c", "c"),
+        ("<main>m</main><p>out</p>", "m"), ("<article>a</article><article class='comment'>c</article>", "a"),
+        ("<p>un<i>closed <textarea>gone</p>", "unclosed"), ("</div>stray</p> 1 < 2", "stray 1 < 2"),
+    ],
+)
+def test_page_text(html, text):
+    assert main_text(content_root(parse_page(html))) == text
+
+
+def test_deep_pages():
+    assert main_text(content_root(parse_page("<div>" * 5000 + "deep"))) == "deep"
+
+
+def test_templates_of_a_host(spark):
+    rows = [(i, f"http://a.com/{i}", f"<article><p>story {i}</p><p>same line</p><div class='x'>Read more here</div></article>") for i in range(30)]
+    rows += [(100 + i, f"http://b.com/{i}", f"<body><div>Welcome to B</div><p>own {i}</p></body>") for i in range(10)]
+    # Copies of one article are no template, and neither is what two pages of a host share.
+    rows += [(200 + i, f"http://c.com/{i}", "<body><div>copied article</div></body>") for i in range(20)]
+    rows += [(300 + i, f"http://d.com/{i}", f"<body><div>pair</div>n{i}</body>") for i in range(2)]
+    rows += [(400, None, None), (401, "", ""), (None, "http://a.com/z", "<p>lone")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, host string")
+    found = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
+    assert found[3] == "story 3\nsame line" and found[105] == "own 5" and found[207] == "copied article"
+    assert found[300] == "pair\nn0" and found[400] == found[401] == "" and found[None] == "lone"
+    assert extract_text(pages.filter("false")).count() == 0
+
+
+def brute_tree(rows, held_out):
+    """The tree with plain dictionaries: baseline and model score of every text."""
+    tokens = {d: [*words(t, lower=True), "\n"] for d, t in rows}
+    learnt = [w for d, w in tokens.items() if not held_out(d)]
+    c = Counter(w for ws in learnt for w in ws)
+    n, v = sum(c.values()), len(c)
+    root = lambda w: (c[w] + 1) / (n + v + 1)
+    frequent = {w for w in c if c[w] >= st.MIN_SHARE * n and c[w] >= st.HEAD_SHARE * n} | {"\n"}
+    symbol = lambda w: w if w in frequent else None
+    p_root = {w: root(w) for w in frequent}
+    p_root[None] = 1 - sum(p_root.values())
+    models = []
+
+    def p(context, s):
+        for k in range(len(models), 0, -1):
+            if len(context) >= k and context[-k:] in models[k - 1]:
+                total, entries, left, pool = models[k - 1][context[-k:]]
+                below = p(context[len(context) - k + 1 :], s)
+                if s in entries:
+                    return (entries[s] + st.PRIOR * below) / (total + st.PRIOR)
+                return below * (left / pool + st.PRIOR) / (total + st.PRIOR)
+        return p_root[s]
+
+    def contexts(ws):
+        past = ["\n"]
+        for w in ws:
+            s = symbol(w)
+            usable = []
+            for x in reversed(past):
+                if x is None:
+                    break
+                usable.insert(0, x)
+            yield tuple(usable), w, s
+            past.append(s)
+
+    candidates = None
+    for k in range(1, st.DEPTH + 1):
+        counts = defaultdict(Counter)
+        for ws in learnt:
+            for context, _, s in contexts(ws):
+                if len(context) >= k and (candidates is None or context[-k:] in candidates):
+                    counts[context[-k:]][s] += 1
+        level = {}
+        for context, nexts in counts.items():
+            total = sum(nexts.values())
+            entries = {s: m for s, m in nexts.items() if m >= st.ENTRY_SHARE * n}
+            below = {s: p(context[1:], s) for s in entries}
+            left, pool = total - sum(entries.values()), max(1 - sum(below.values()), 1e-12)
+            gain = sum(m * math.log(m / total / below[s]) for s, m in entries.items())
+            gain += left * math.log(left / total / pool) if left else 0
+            if gain > len(entries):
+                level[context] = (total, entries, left, pool)
+        candidates = {(*x, s) for x, ns in counts.items() for s, m in ns.items() if s not in (None, "\n") and m >= st.MIN_SHARE * n}
+        models.append(level)
+    out = {}
+    for d, ws in tokens.items():
+        base = sum(math.log10(root(w)) for w in ws)
+        score = base + sum(math.log10(p(x, s) / p_root[s]) for x, _, s in contexts(ws))
+        out[d] = (len(ws), sum(c[w] > 0 for w in ws), n, base, score)
+    return out
+
+
+@pytest.mark.parametrize("share, entry", [(2e-5, 2e-7), (0.01, 0.002)])
+def test_suffix_tree_equals_brute_force(spark, texts, monkeypatch, share, entry):
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(60)]
+    rows = []
+    for d in range(160):
+        text, at = [], rnd.randrange(60)
+        for _ in range(rnd.randrange(0, 90)):
+            at = (at * 7 + rnd.choice([1, 1, 1, 2, 5])) % 60
+            text.append(vocabulary[at] if rnd.random() < 0.9 else f"rare{rnd.randrange(500)}")
+        rows.append((d, " ".join(text)))
+    rows += [(1000 + k, t) for k, t in enumerate(texts)]
+    monkeypatch.setattr(st, "MIN_SHARE", share)
+    monkeypatch.setattr(st, "ENTRY_SHARE", entry)
+    held_out = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    expected = brute_tree(rows, held_out)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = st.score_documents(frame, held_out=id_hash() % 7 == 2).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        n_tokens, n_known, n, base, score = expected[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (n_tokens, n_known, n, held_out(r["doc_id"]))
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(score, rel=1e-6)
+    held = [r for r in found if r["held_out"] and r["doc_id"] < 1000]
+    assert sum(r["score"] for r in held) > (0.9 if share < 0.01 else 1.0) * sum(r["base_score"] for r in held)
+
+
+def test_suffix_tree_without_rows(docs, no_docs):
+    found = st.score_documents(docs, held_out=id_hash() % 7 == 2).collect()
+    assert len(found) == docs.count() and st.score_documents(no_docs, held_out=id_hash() % 7 == 2).count() == 0
+    nothing_learnt = st.score_documents(docs, held_out=id_hash() >= 0).collect()
+    assert all(r["score"] == r["base_score"] == 0 and r["train_tokens"] == 0 and r["n_known"] == 0 for r in nothing_learnt)
+
+
+def test_tree_is_a_distribution():
+    words = st.Vocabulary(np.arange(5, dtype=np.uint64), np.array([9, 5, 3, 2, 1]), np.arange(5), 6, 0, 20, 5)
+    tree = st.SuffixTree(6, np.log10(words.root()))
+    rng = np.random.default_rng(1)
+    context, symbol, n = np.repeat([1, 3, 4], 3), np.tile([0, 2, 5], 3), rng.integers(20, 90, 9)
+    tree.add_level(context, symbol, n, np.array([1, 3, 4]), np.array([400, 300, 500]))
+    assert len(tree.levels[0].contexts)
+    for code in range(6):
+        logs = tree.logs(np.full(6, code), np.ones(6, int), np.arange(6))
+        assert (10**logs).sum() == pytest.approx(1)
