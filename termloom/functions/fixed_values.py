@@ -4,15 +4,16 @@ Everything here is data (words, patterns, defaults); the logic that uses it live
 """
 
 # English stopwords. "and", "or" and "not" are deliberately absent.
-STOPWORDS = tuple(
-    """
-    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself
-    it its itself they them their theirs themselves what which who whom this that these those am is are was were be
-    been being have has had having do does did doing a an the but if because as until while of at by for with about
-    against between into through during before after above below to from up down in out on off over under again
-    further then once here there when where why how all any both each few more most other some such no nor only own
-    same so than too very s t can will just don should now
-    """.split()
+STOPWORDS = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves",
+    "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their",
+    "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "but", "if", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up", "down", "in",
+    "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why",
+    "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "only", "own",
+    "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "should", "now",
 )
 
 # Text patterns, in Java regex syntax ((?U) makes \S follow Unicode white space).

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HIDDEN = r"<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 HIDDEN_PATTERN = rf"(?is){HIDDEN}"
-MARKUP_PATTERN = rf"(?is){HIDDEN}|<[a-z/!?][^>]*>"
+# Attribute values are skipped whole, so that a > inside quotes does not end a tag; with an odd quote the first > does.
+MARKUP_PATTERN = rf"""(?is){HIDDEN}|<[a-z/!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[a-z/!?][^>]*>"""
+# Names with a closing semicolon, and the older ones that may stand without it, longest first.
+ENTITIES = {name.removesuffix(";"): text for name, text in html5.items() if name.endswith(";")}
+OPEN_ENTITIES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
 ANCHOR_HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -23,15 +28,17 @@ def _character(code_point: Column) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     """Decode the entity at the start of a piece that followed an ampersand."""
-    names = F.create_map(*[F.lit(x) for name, cp in name2codepoint.items() for x in (name, chr(cp))])
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
     decimal = F.regexp_extract(piece, r"^#([0-9]{1,9});?", 1)
     hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,8});?", 1)
-    name = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
-    rest = F.regexp_replace(piece, r"^(?:#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]*);?", "")
+    closed = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
+    opened = F.regexp_extract(piece, f"^({'|'.join(OPEN_ENTITIES)})", 1)
+    rest = F.regexp_replace(piece, r"^#(?:[0-9]{1,9}|[xX][0-9a-fA-F]{1,8});?", "")
     return (
         F.when(decimal != "", F.concat(_character(decimal.cast("bigint")), rest))
         .when(hexadecimal != "", F.concat(_character(F.conv(hexadecimal, 16, 10).cast("bigint")), rest))
-        .when(names[name].isNotNull(), F.concat(names[name], rest))
+        .when(names[closed].isNotNull(), F.concat(names[closed], F.substr(piece, F.length(closed) + 2)))
+        .when(opened != "", F.concat(names[opened], F.substr(piece, F.length(opened) + 1)))
         .otherwise(F.concat(F.lit("&"), piece))
     )
 

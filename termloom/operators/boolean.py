@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import STOPWORDS
 from ..functions.text import is_term, raw_words
 from ..index import Index
+from ..session import stage
 from .analysis import analyze
 from .joins import fits_broadcast, join_small_or_hot
 from .lookups import documents_not_in, term_documents
@@ -110,7 +111,7 @@ def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:
     negated terms only answer with nearly every document; each document lists the ones it does not violate.
     """
     keys = ["query_id", "clause_id"]
-    terms = prepare_clauses(clauses, **options).distinct()
+    terms = stage(prepare_clauses(clauses, **options).distinct(), "clauses")
     positives = terms.groupBy(*keys).agg(F.count_if(~F.col("negated")).alias("n_positive"))
     small = fits_broadcast(terms)
     wanted = terms.join(F.broadcast(positives) if small else positives, keys)
@@ -122,6 +123,7 @@ def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:
         F.count_if(F.col("negated")).alias("violated"),
         F.max("n_positive").alias("n_positive"),
     )
+    held = stage(held, "held")
     with_positive = held.filter((F.col("n_positive") > 0) & (F.col("held") == F.col("n_positive")))
     found = with_positive.filter("violated = 0").select("query_id", "doc_id")
     negative = positives.filter("n_positive = 0").select(*keys)
@@ -130,24 +132,24 @@ def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:
 
 
 def _all_negative(index: Index, negative: DataFrame, violated: DataFrame) -> DataFrame | None:
-    """``query_id, doc_id`` of clauses with negated terms only, in packs of bounded size; None without such."""
-    n_packs = -(-negative.count() // CLAUSES_PER_PACK)
+    """``query_id, doc_id`` of clauses with negated terms only; None without such.
+
+    The clauses are dealt by hash into packs of bounded size, and each document meets each pack once, as a join on the
+    number of the pack.
+    """
+    n_negative = negative.count()
+    if not n_negative:
+        return None
+    n_packs = -(-n_negative // CLAUSES_PER_PACK)
     clause = F.to_json(F.struct("query_id", "clause_id")).alias("clause")
-    pack = F.pmod(F.xxhash64("clause"), F.lit(max(n_packs, 1))).alias("pack")
+    pack = F.pmod(F.xxhash64("clause"), F.lit(n_packs)).alias("pack")
     query_type = negative.schema["query_id"].dataType.simpleString()
-    listed = negative.select(clause).select("clause", pack)
+    listed = negative.select(clause).select("clause", pack).groupBy("pack").agg(F.collect_list("clause").alias("every"))
     broken = violated.select("doc_id", clause).select("doc_id", "clause", pack)
-    found = None
-    for number in range(n_packs):
-        in_pack = F.col("pack") == number
-        every = listed.filter(in_pack).agg(F.collect_list("clause").alias("every")).scalar()
-        per_doc = broken.filter(in_pack).groupBy("doc_id").agg(F.collect_set("clause").alias("broken"))
-        kept = F.array_except(every, F.coalesce("broken", F.array().cast("array<string>")))
-        answer = (
-            index.doc_stats.select("doc_id")
-            .join(per_doc, "doc_id", "left")
-            .select("doc_id", F.explode(kept).alias("clause"))
-            .select(F.from_json("clause", f"query_id {query_type}").getField("query_id").alias("query_id"), "doc_id")
-        )
-        found = answer if found is None else found.union(answer)
-    return found
+    broken = broken.groupBy("doc_id", "pack").agg(F.collect_set("clause").alias("broken"))
+    kept = F.array_except("every", F.coalesce("broken", F.array().cast("array<string>")))
+    answer = index.doc_stats.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1))).alias("pack"))
+    answer = answer.withColumn("pack", F.col("pack").cast("bigint")).join(listed, "pack").join(broken, ["doc_id", "pack"], "left")
+    answer = answer.select("doc_id", F.explode(kept).alias("clause"))
+    query_id = F.from_json("clause", f"query_id {query_type}").getField("query_id").alias("query_id")
+    return answer.select(query_id, "doc_id")

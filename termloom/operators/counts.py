@@ -21,7 +21,6 @@ def term_counts(
     stem: bool = False,
     stopwords: Iterable[str] = STOPWORDS,
     keep_empty: bool = False,
-    by_document: bool = False,
 ) -> DataFrame:
     """``doc_id, term, tf``. With ``keep_empty`` every document also has one row with a null term and tf 0.
 
@@ -98,7 +97,8 @@ def posting_lists(index: Index, segment_docs: int = SEGMENT_DOCS) -> DataFrame:
     """``term, segment, docs``: posting lists as arrays of ``(doc_id, tf)`` in document order.
 
     Documents are hashed into ``ceil(N / segment_docs)`` segments, so that no array grows with the collection, be a
-    term ever so frequent. A collection of up to ``segment_docs`` documents has one list per term.
+    term ever so frequent. A collection of up to ``segment_docs`` documents has one list per term; beyond that a reader
+    must gather all segments of a term.
     """
     segments = F.greatest(F.lit(1), F.ceil(index.n_docs() / F.lit(segment_docs)))
     number = F.conv(F.substr(F.md5(F.col("doc_id").cast("string")), F.lit(1), F.lit(8)), 16, 10).cast("bigint")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +11,22 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import DEFAULT_MAX_DEPTH
 from ..functions.urls import canonical_url
 from ..session import stage
-from ..sources.documents import html_pages, page_documents
-from .joins import BROADCAST_ROWS, join_hot
+from ..sources.documents import first_per_document, html_pages, page_documents
+from .joins import fits_broadcast, join_hot
 from .links import link_edges
+from .numbering import number_rows
 
 
-def _followed(frontier: DataFrame, n_frontier: int, edges: DataFrame) -> DataFrame:
-    """Distinct targets of the frontier's links; the frontier is broadcast only while its counted size allows."""
-    if n_frontier <= BROADCAST_ROWS:
+SEEN_LEVELS = 8
+
+
+def _followed(frontier: DataFrame, edges: DataFrame, hot: Callable[[], DataFrame]) -> DataFrame:
+    """Distinct targets of the frontier's links; the frontier is broadcast only while its checked size allows."""
+    if fits_broadcast(frontier):
         reached = edges.join(F.broadcast(frontier), edges["src"] == frontier["node"], "left_semi")
     else:
-        reached = join_hot(edges, frontier.withColumnRenamed("node", "src"), "src", ["dst"])
+        sources = frontier.withColumnRenamed("node", "src")
+        reached = join_hot(edges, sources, "src", ["dst"], left_counts=hot())
     return reached.select(F.col("dst").alias("node")).distinct()
 
 
@@ -35,19 +41,24 @@ def reach(
 
     Depth 0 are the seeds; links found on the last level (``max_depth``, negative for no limit) are listed but not
     attempted. ``max_pages`` limits attempts over all levels, in order of depth and node. Nodes in ``known(node)``
-    are never queued. Each level is one join, written to the shared folder, so a lost executor costs one level.
+    are never queued. Each level is one join, written to the shared folder, so a lost executor costs one level; what
+    was seen is merged every few levels, so that a level costs as much late as early.
     """
     seeds = seeds.select("node").distinct()
     if known is not None:
         seeds = seeds.join(known.select("node"), "node", "left_anti")
     frontier = stage(seeds, "level")
     n_frontier = frontier.count()
-    seen = [frontier] if known is None else [frontier, known.select("node")]
+    seen = [frontier] if known is None else [frontier, stage(known.select("node"), "known")]
+    hot = cache(lambda: stage(edges.groupBy("src").agg(F.count("*").alias("_rows")), "link-counts"))
     levels, budget, depth = [], max_pages, 0
     while n_frontier > 0:
         row = frontier.select("node", F.lit(depth).cast("bigint").alias("depth"))
         if budget is not None and n_frontier > budget:
-            attempted = stage(frontier.orderBy("node").limit(budget), "attempted") if budget else frontier.limit(0)
+            attempted = frontier.limit(0)
+            if budget:
+                numbered = number_rows(frontier, [], [F.col("node")], "_number")
+                attempted = stage(numbered.filter(F.col("_number") <= budget).select("node"), "attempted")
             left_over = row.join(attempted, "node", "left_anti")
             levels.append(row.join(attempted, "node", "left_semi").withColumn("attempted", F.lit(True)))
             levels.append(left_over.withColumn("attempted", F.lit(False)))
@@ -59,11 +70,13 @@ def reach(
             budget -= n_attempted
         if n_attempted == 0:
             break
-        found = _followed(attempted, n_attempted, edges)
+        found = _followed(attempted, edges, hot)
         found = found.join(reduce(DataFrame.union, seen), "node", "left_anti")
         frontier = stage(found, "level")
         n_frontier = frontier.count()
         seen.append(frontier)
+        if len(seen) > SEEN_LEVELS:
+            seen = [stage(reduce(DataFrame.union, seen), "seen")]
         if depth == max_depth or (budget is not None and budget == 0):
             pending = frontier.select("node", F.lit(depth + 1).cast("bigint").alias("depth"))
             levels.append(pending.withColumn("attempted", F.lit(False)))
@@ -96,7 +109,7 @@ def crawl(
     Given the ``state`` of an earlier crawl, its pending links and the new seeds start at depth 0; what is visited
     or bad stays as it was and is not tried again.
     """
-    edges = stage(link_edges(pages), "edges")
+    edges = stage(link_edges(pages).repartition("src").sortWithinPartitions("src"), "edges")
     start = seeds.select(canonical_url(F.col("url")).alias("node"))
     if state is None:
         return with_status(reach(edges, start, max_depth, max_pages), pages)
@@ -113,7 +126,14 @@ def known_links(state: DataFrame) -> DataFrame:
 
 
 def visited_documents(pages: DataFrame, state: DataFrame) -> DataFrame:
-    """The visited pages as documents ``doc_id, text``, ready to be indexed."""
+    """The visited pages as documents ``doc_id, text``, ready to be indexed, one per link of the crawl.
+
+    Of page rows whose URLs differ only behind ``?`` or ``#`` the first by URL is taken, since a link is fetched once.
+    The id is the URL the page is known by, as of that row.
+    """
     visited = state.filter("status = 'visited'").select(F.col("url").alias("_node"))
-    pages = html_pages(pages).withColumn("_node", canonical_url(F.col("url")))
-    return page_documents(pages.join(visited, "_node", "left_semi"))
+    pages = html_pages(pages).withColumn("_node", canonical_url(F.col("url"))).join(visited, "_node", "left_semi")
+    ids = pages.select(F.col("_node").alias("doc_id"), "url").distinct()
+    first = first_per_document(ids, "url").select(F.col("doc_id").alias("_node"), F.col("url").alias("_first"))
+    chosen = pages.join(first, "_node").filter(F.col("url") == F.col("_first"))
+    return first_per_document(page_documents(chosen, keep=("url",)), "url").select("doc_id", "text")

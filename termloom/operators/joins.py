@@ -20,10 +20,16 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROAD
     return size["n"] <= rows and size["chars"] <= chars
 
 
-def hot_keys(df: DataFrame, key: str, cells: str, min_cell_rows: int | None = None) -> DataFrame:
-    """Keys with too many rows for one task, and into how many cells each is to be cut."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    total = df.agg(F.count("*").alias("_total")).scalar()
+def hot_keys(
+    df: DataFrame, key: str, cells: str, min_cell_rows: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """Keys with too many rows for one task, and into how many cells each is to be cut.
+
+    ``counts(key, _rows)`` saves counting the rows when that is known already.
+    """
+    if counts is None:
+        counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     limit = F.greatest(F.lit(min_cell_rows or MIN_CELL_ROWS), F.ceil(total / F.lit(HOT_SHARE)))
     return counts.filter(F.col("_rows") > limit).select(key, F.ceil(F.col("_rows") / limit).cast("int").alias(cells))
 
@@ -43,6 +49,7 @@ def join_hot(
     left_id: list[str],
     right_id: list[str] | None = None,
     min_cell_rows: int | None = None,
+    left_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join in which hot keys are cut into cells on both sides.
 
@@ -50,7 +57,7 @@ def join_hot(
     once per cell, and the other way round, so that each pair of rows still meets exactly once. Leave ``right_id``
     out when the key is unique on the right.
     """
-    left_hot = F.broadcast(hot_keys(left, key, "_left_cells", min_cell_rows))
+    left_hot = F.broadcast(hot_keys(left, key, "_left_cells", min_cell_rows, left_counts))
     left = left.join(left_hot, key, "left")
     right = right.join(left_hot, key, "left")
     left = left.withColumn("_left_cell", _cell_of([F.col(c) for c in left_id], F.col("_left_cells")))

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from .joins import fits_broadcast
 
+# At most so many terms are taken for frequent.
+FREQUENT_SHARE = 100_000
+
 VOWEL = f"[{V.STEM_VOWELS}]"
 CONSONANT = f"[^{V.STEM_VOWELS}]"
 REGION = f"^{CONSONANT}*{VOWEL}+{CONSONANT}"
@@ -177,28 +180,31 @@ def stem_vocabulary(terms: DataFrame) -> DataFrame:
     return distinct.select("term", stem_of(F.col("term")).alias("stem"))
 
 
-def stem_counts(counts: DataFrame) -> DataFrame:
+def stem_counts(counts: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
     """Replace terms by stems and add up: ``doc_id, term, tf`` in and out (null terms stay).
 
     The counts are grouped by document already, so stemming them in place and adding up needs no exchange at all;
-    looking stems up in a vocabulary would shuffle every posting by term, hot terms included.
+    looking stems up in a vocabulary would shuffle every posting by term, hot terms included. ``frequent(term, stem)``
+    saves work for the terms in it, while it is small enough to be broadcast: they are looked up, all others are
+    stemmed in place, with the same result.
     """
+    stem = stem_of(F.col("term"))
+    if frequent is not None and fits_broadcast(frequent):
+        stems = F.broadcast(frequent.select("term", F.col("stem").alias("_stem")).filter(F.col("_stem").isNotNull()))
+        counts = counts.join(stems, "term", "left")
+        stem = F.coalesce("_stem", stem)
     return (
-        counts.select("doc_id", stem_of(F.col("term")).alias("term"), "tf")
+        counts.select("doc_id", stem.alias("term"), "tf")
         .groupBy("doc_id", "term")
         .agg(F.sum("tf").alias("tf"))
         .select("doc_id", "term", "tf")
     )
 
 
-def look_up_stems(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """:func:`stem_counts` through a stored ``term, stem`` table: cheaper per row while the table can be broadcast.
-
-    Beyond the checked size the stems are computed in place, with the same result.
-    """
-    if not fits_broadcast(vocabulary):
-        return stem_counts(counts)
-    stems = F.broadcast(vocabulary.select("term", F.col("stem").alias("_stem")))
-    return counts.join(stems, "term", "left").groupBy("doc_id", F.col("_stem").alias("term")).agg(
-        F.sum("tf").alias("tf")
+def frequent_stems(counts: DataFrame, share: int = FREQUENT_SHARE) -> DataFrame:
+    """``term, stem`` of the terms that make up at least one in ``share`` of the rows of counts, so at most ``share``."""
+    by_term = counts.groupBy("term").agg(F.count("*").alias("n"))
+    total = counts.agg(F.count("*").alias("n")).scalar()
+    return by_term.filter(F.col("term").isNotNull() & (F.col("n") * share >= total)).select(
+        "term", stem_of(F.col("term")).alias("stem")
     )

@@ -242,6 +242,8 @@ WHERE term NOT IN ({STOP})""",
     "stem_vocabulary": f"{STEM_TC} SELECT term, stem FROM stems",
     "stemmed_counts": f"{STEM_TC} SELECT doc_id, term, tf FROM tc",
     "pages_text": f"SELECT page_id, {PAGE_TEXT} AS text FROM pages",
+    "pages_entities": f"SELECT page_id, {PAGE_TEXT} || '''x'' © y …' || chr(160) || '€A ¬it; &nosuch;  z ' AS text FROM pages",
+    "text_folder": r"SELECT page_id, regexp_replace(html, '[\r\n]+', ' ', 'g') AS text FROM pages",
     "pages_documents": f"SELECT url AS doc_id, {PAGE_TEXT} AS text FROM pages",
     "page_links": f"WITH {links('pages')} SELECT page_id, href FROM hrefs",
     "followable_links": f"WITH {LINKED},\n{links('lp')} SELECT page_id, href FROM followable",

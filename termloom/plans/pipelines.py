@@ -22,7 +22,7 @@ def index_folder(
 
 def index_pages(pages: DataFrame, path: str, load: str, **options) -> Index:
     """Index the HTML pages of a page table."""
-    add_documents(page_documents(pages), path, load, order_by="text", **options)
+    add_documents(page_documents(pages, keep=("url",)), path, load, order_by="url", **options)
     return open_index(pages.sparkSession, path)
 
 
@@ -37,5 +37,5 @@ def crawl_and_index(
 ) -> tuple[DataFrame, Index]:
     """Crawl a page table from seeds and index what was visited; returns the crawl state and the index."""
     state = stage(crawl(pages, seeds, max_depth, max_pages), "crawl")
-    add_documents(visited_documents(pages, state), path, load, order_by="text", **options)
+    add_documents(visited_documents(pages, state), path, load, **options)
     return state, open_index(pages.sparkSession, path)

@@ -25,13 +25,14 @@ from ..operators.crawl import crawl, known_links, reach
 from ..operators.links import followable_links, link_edges, page_links, resolved_links
 from ..operators.lookups import document_norms, missing_terms, term_documents, term_postings
 from ..operators.ranked import rank_all, score_sums, vector_bulk, vector_search
-from ..operators.stems import stem_vocabulary
+from ..operators.stems import frequent_stems, stem_counts, stem_vocabulary
 from ..session import new_path, stage
-from ..sources.documents import html_pages, new_documents, page_documents
-from ..sources.index_store import add_documents, lay_out, open_index, result_lines
+from ..sources.documents import html_pages, new_documents, page_documents, read_text_folder
+from ..sources.index_store import add_documents, compact_loads, lay_out, open_index, result_lines
 from ..streaming.upkeep import keep_current
 from .pipelines import crawl_and_index
 
+ENTITY_FOOTER = """&apos;x&apos; &copy y &hellip;&nbsp;&#8364;&#x41; &notit; &nosuch; <i title="a>b">z</i>"""
 SEARCH_TEXT = "tion retion ther ther and"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _stored: dict[tuple, object] = {}
@@ -115,6 +116,20 @@ def crawl_state(spark: SparkSession, folder: str) -> DataFrame:
 # Sources and sinks
 
 
+@query
+def text_folder(spark, folder):
+    """All pages written as text, one file per page, and read back as documents."""
+    files = new_path(spark, "texts")
+    pages = table(spark, folder, "pages").select("page_id", F.regexp_replace("html", "[\r\n]+", " ").alias("text"))
+    # One folder per page with one file in it; ids come from the path.
+    pages.write.partitionBy("page_id").text(files)
+    found = read_text_folder(spark, files, doc_id="path")
+    number = F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint")
+    return found.filter(F.startswith(F.element_at(F.split("path", "/"), -1), F.lit("part-"))).select(
+        number.alias("page_id"), F.regexp_replace("text", "\n$", "").alias("text")
+    )
+
+
 @query
 def pages_source(spark, folder):
     """HTML pages only; the media type stands in the table or, as here, is derived from the page's own doctype."""
@@ -144,7 +159,7 @@ def _postings(index: Index) -> DataFrame:
 @query
 def build_index(spark, folder):
     path = new_path(spark, "index")
-    add_documents(documents(spark, folder), path, "all", order_by="text")
+    add_documents(documents(spark, folder), path, "all")
     return _postings(open_index(spark, path))
 
 
@@ -161,7 +176,7 @@ def index_append(spark, folder):
 def bucketed_index(spark: SparkSession, folder: str) -> Index:
     def make() -> Index:
         path = new_path(spark, "tables")
-        return lay_out(stored_index(spark, folder), "t" + path.rsplit("-", 1)[1], path, buckets=8)
+        return lay_out(stored_index(spark, folder), "t" + path.rsplit("-", 1)[1], path)
 
     return _once(spark, folder, "tables", make)
 
@@ -222,12 +237,13 @@ def preprocess_queries(spark, folder):
 
 @query
 def query_stem_vocabulary(spark, folder):
-    return stem_vocabulary(stored_index(spark, folder).postings)
+    return stem_vocabulary(explode_terms(documents(spark, folder), ["doc_id"]))
 
 
 @query
 def stemmed_counts(spark, folder):
-    return term_counts(documents(spark, folder), stem=True)
+    counts = stage(term_counts(documents(spark, folder)), "counts")
+    return stem_counts(counts, frequent_stems(counts))
 
 
 @query
@@ -235,6 +251,13 @@ def pages_text(spark, folder):
     return table(spark, folder, "pages").select("page_id", html_text(F.col("html")).alias("text"))
 
 
+@query
+def pages_entities(spark, folder):
+    """Text of pages to which character references of all kinds and a quoted ``>`` were added."""
+    footer = F.lit(ENTITY_FOOTER)
+    return table(spark, folder, "pages").select("page_id", html_text(F.concat("html", footer)).alias("text"))
+
+
 @query
 def pages_documents(spark, folder):
     return page_documents(table(spark, folder, "pages"))
@@ -378,7 +401,7 @@ def bool_bulk(spark, folder):
 
 @query
 def bool_dnf(spark, folder):
-    """Per language and word of it: documents with the word but without "and"; documents with neither of two words."""
+    """Clauses with positive and negated terms, with negated ones only, and with a term that no document holds."""
     rows = [
         (1, 1, "tion", False), (1, 1, "and", True), (1, 2, "ther", False), (1, 2, "retion", False),
         (2, 1, "and", True), (3, 1, "and", True), (3, 1, "tion", True), (3, 2, "nosuchterm", False),
@@ -533,9 +556,14 @@ def stream_index(spark, folder):
     """Documents arrive as a stream; the index ends up as the batch one."""
     path = new_path(spark, "index")
     schema = documents(spark, folder).schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-    arriving = files.option("maxFilesPerTrigger", 1).parquet(folder)
+    source = new_path(spark, "arriving")
+    # Three files hold all documents; one more brings some of them again.
+    docs = documents(spark, folder).repartition(3, "doc_id")
+    docs.write.parquet(source)
+    docs.filter("doc_id % 10 = 0").coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     keep_current(arriving, path, new_path(spark, "stream")).awaitTermination()
+    compact_loads(spark, path, "all")
     index = open_index(spark, path)
     n_terms = index.postings.groupBy("doc_id").agg(F.count("*").alias("n_terms"))
     stats = index.doc_stats.join(n_terms, "doc_id", "left")

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and single-machine trials; on a cluster bring your own."""
-    return (
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A session for tests and single-machine trials; on a cluster bring your own. ``shared``: its shared folder."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("termloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -19,8 +23,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", shared) if shared else builder).getOrCreate()
 
 
 _local_folders: dict[str, str] = {}
@@ -53,3 +57,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """:func:`stage` for as long as a block lasts; the files go with it."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(df.sparkSession, path)

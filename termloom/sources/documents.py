@@ -2,32 +2,91 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.html import html_text
+from ..session import new_path
+
+
+def _decoded(column: str) -> Column:
+    """A file name or path as it is; Spark encodes it like a URL."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
 
 
 def _file_columns(files: DataFrame, doc_id: str) -> DataFrame:
     if doc_id not in ("basename", "path"):
         raise ValueError("doc_id must be 'basename' or 'path'")
-    name = F.col("_metadata.file_name" if doc_id == "basename" else "_metadata.file_path")
+    name = _decoded("_metadata.file_name" if doc_id == "basename" else "_metadata.file_path")
     return files.select(
-        name.alias("doc_id"), F.col("_metadata.file_path").alias("path"), F.validate_utf8("value").alias("text")
+        name.alias("doc_id"), _decoded("_metadata.file_path").alias("path"), F.validate_utf8("value").alias("text")
     )
 
 
+def _passed_over(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Path and length of the files below a folder that Spark's sources leave out: hidden ones and empty ones.
+
+    Folders are listed by the driver, as for the index of files that Spark makes itself.
+    """
+    jvm, found, todo = spark.sparkContext._jvm, [], [(folder, False)]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while todo:
+        place, hidden = todo.pop()
+        path = jvm.org.apache.hadoop.fs.Path(place)
+        for entry in path.getFileSystem(conf).listStatus(path):
+            where, is_folder, length = re.match(
+                r"\w+\{path=(.*?); isDirectory=(true|false);(?: length=(\d+);)?", entry.toString(), re.DOTALL
+            ).groups()
+            out_of_sight = hidden or where.rsplit("/", 1)[1].startswith(("_", "."))
+            if is_folder == "true":
+                todo.append((where, out_of_sight))
+            elif out_of_sight or length == "0":
+                found.append((where, int(length)))
+    return found
+
+
+def _hidden_files(spark: SparkSession, folder: str, doc_id: str) -> DataFrame | None:
+    """The rows of the files that Spark passes over; those with content are copied to names it reads."""
+    files = _passed_over(spark, folder)
+    if not files:
+        return None
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    copies = new_path(spark, "hidden-files")
+    for number, (path, length) in enumerate(files):
+        if length:
+            source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{copies}/{number}"))
+            systems = source.getFileSystem(conf), target.getFileSystem(conf)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(systems[0], source, systems[1], target, False, conf)
+    named = [(number, path, path.rsplit("/", 1)[1] if doc_id == "basename" else path, n > 0) for number, (path, n) in enumerate(files)]
+    rows = spark.createDataFrame(named, "number bigint, path string, doc_id string, filled boolean")
+    empty = rows.filter("not filled").select("doc_id", "path", F.lit("").alias("text"))
+    if not any(n for _, n in files):
+        return empty
+    read = spark.read.option("wholetext", True).text(copies)
+    read = read.select(
+        F.col("_metadata.file_name").cast("bigint").alias("number"), F.validate_utf8("value").alias("text")
+    )
+    return empty.unionByName(rows.join(read, "number").select("doc_id", "path", "text"))
+
+
 def read_text_folder(spark: SparkSession, folder: str, doc_id: str = "basename") -> DataFrame:
-    """Every file below a folder as one document: ``doc_id, path, text``. Text that is not UTF-8 is an error."""
+    """Every file below a folder as one document: ``doc_id, path, text``. Text that is not UTF-8 is an error.
+
+    Empty files are empty documents, and names that start with ``_`` or ``.`` count like any other.
+    """
     files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
-    return _file_columns(files, doc_id)
+    found = _file_columns(files, doc_id)
+    hidden = _hidden_files(spark, folder, doc_id)
+    return found if hidden is None else found.unionByName(hidden)
 
 
 def stream_text_folder(
     spark: SparkSession, folder: str, doc_id: str = "basename", files_per_batch: int = 10_000
 ) -> DataFrame:
-    """The same as a stream that picks up files as they arrive."""
+    """Files as they arrive, as a stream; it picks up what Spark sees, so no hidden and no empty files."""
     files = (
         spark.readStream.format("text")
         .option("wholetext", True)
@@ -52,11 +111,11 @@ def page_url(pages: DataFrame) -> Column:
     return F.coalesce(F.col("final_url"), url) if "final_url" in pages.columns else url
 
 
-def page_documents(pages: DataFrame, doc_id: Column | None = None) -> DataFrame:
-    """HTML pages as documents ``doc_id, text``; the id is the page's URL unless given."""
+def page_documents(pages: DataFrame, doc_id: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """HTML pages as documents ``doc_id, text``; the id is the page's URL unless given. ``keep`` adds columns."""
     pages = html_pages(pages)
     key = page_url(pages) if doc_id is None else doc_id
-    return pages.select(key.alias("doc_id"), html_text(F.col("html")).alias("text"))
+    return pages.select(key.alias("doc_id"), html_text(F.col("html")).alias("text"), *keep)
 
 
 def first_per_document(docs: DataFrame, order_by: str) -> DataFrame:

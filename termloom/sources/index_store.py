@@ -2,78 +2,132 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..index import Index
 from ..operators.counts import index_frames, term_counts, with_norms
-from ..session import stage
-from .documents import new_documents
+from ..operators.joins import fits_broadcast
+from ..session import staged
+from .documents import first_per_document, new_documents
+
+# Rows of postings that one bucket of a layout should hold.
+BUCKET_ROWS = 2_000_000
+
+
+MANIFEST = "load string, folder string, version bigint, replaces array<string>"
+
+
+def _manifest(spark: SparkSession, path: str) -> list[Row]:
+    """The entries that count, oldest first: of each load the latest, unless a later entry replaces the load.
 
+    One row per load; :func:`compact_loads` keeps them few.
+    """
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").collect()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    latest = {row["load"]: row for row in sorted(rows, key=lambda r: (r["version"], r["folder"]))}
+    gone = {load: row["version"] for row in latest.values() for load in row["replaces"]}
+    return sorted((r for r in latest.values() if r["version"] > gone.get(r["load"], -1)), key=lambda r: r["version"])
 
-def write_load(spark: SparkSession, index: Index, path: str, load: str) -> None:
-    """Write one load. Running it again under the same name replaces the load.
 
-    Postings are laid out by term and document, so that row groups of other terms are skipped and a frequent term is
-    spread over many files. ``doc_stats`` is written last; a load counts from then on.
+def write_load(spark: SparkSession, index: Index, path: str, load: str, replaces: list[str] | None = None) -> None:
+    """Write one load into a folder of its own. It counts, as a whole, from the moment its manifest entry is there.
+
+    Running it again under the same name writes another folder, which takes the place of the first one then: readers
+    see the old load or the new one, never parts. Postings are laid out by term and document, so that row groups of
+    other terms are skipped and a frequent term is spread over many files.
     """
+    folder = f"{path}/loads/{uuid.uuid4().hex}"
     postings = index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-    postings.write.mode("overwrite").parquet(f"{path}/postings/load=load-{load}")
-    index.doc_stats.write.mode("overwrite").parquet(f"{path}/doc_stats/load=load-{load}")
+    postings.write.parquet(f"{folder}/postings")
+    index.doc_stats.write.parquet(f"{folder}/doc_stats")
+    entry = [(load, folder, time.time_ns(), replaces or [])]
+    spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def is_index(spark: SparkSession, path: str) -> bool:
     """True once a first load is there."""
-    try:
-        spark.read.parquet(f"{path}/doc_stats")
-        return True
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
+    return bool(_manifest(spark, path))
+
+
+def load_names(spark: SparkSession, path: str) -> list[str]:
+    """The loads that count, oldest first."""
+    return [row["load"] for row in _manifest(spark, path)]
 
 
 def open_index(spark: SparkSession, path: str, without_load: str | None = None) -> Index:
-    """Open a stored index. Only loads whose ``doc_stats`` are written are seen."""
-    doc_stats = spark.read.parquet(f"{path}/doc_stats")
-    postings = spark.read.parquet(f"{path}/postings")
-    if without_load is not None:
-        doc_stats = doc_stats.filter(F.col("load") != f"load-{without_load}")
-    loads = [row["load"] for row in doc_stats.select("load").distinct().collect()]
+    """Open a stored index as its manifest lists it now."""
+    folders = [row["folder"] for row in _manifest(spark, path) if row["load"] != without_load]
+    if not folders:
+        raise FileNotFoundError(f"no index at {path}")
     return Index(
-        postings=postings.filter(F.col("load").isin(loads)).select("term", "doc_id", "tf", "l_d"),
-        doc_stats=doc_stats.select("doc_id", "l_d"),
+        postings=spark.read.parquet(*[f"{f}/postings" for f in folders]).select("term", "doc_id", "tf", "l_d"),
+        doc_stats=spark.read.parquet(*[f"{f}/doc_stats" for f in folders]).select("doc_id", "l_d"),
     )
 
 
-def add_documents(
-    docs: DataFrame, path: str, load: str, order_by: str | None = None, **options
-) -> None:
+def compact_loads(spark: SparkSession, path: str, load: str) -> None:
+    """Merge all loads into one named ``load``: few large files again after many small ones, as after streaming.
+
+    The old folders stay for readers that opened them before; delete them when no such reader is left.
+    """
+    names = load_names(spark, path)
+    if len(names) > 1:
+        write_load(spark, open_index(spark, path), path, load, replaces=[n for n in names if n != load])
+
+
+def known_among(ids: DataFrame, doc_stats: DataFrame) -> DataFrame:
+    """``doc_id`` of the rows of ``doc_stats`` that are among ``ids(doc_id)``; a small batch is brought to the table."""
+    ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+    return doc_stats.select("doc_id").join(ids, "doc_id", "left_semi")
+
+
+def add_documents(docs: DataFrame, path: str, load: str, order_by: str | None = None, **options) -> None:
     """Index documents end to end: skip known ids, count, weigh, append as one load.
 
     ``order_by`` picks among rows that share an id (leave it out when ids are unique in the source). The counted
-    texts are staged once; postings, the sampling of their ranges and the norms are all read from there. Documents of
-    the same load do not count as known, so a load that broke off can be repeated.
+    texts are staged while postings, the sampling of their ranges and the norms are read from there. Documents of the
+    same load do not count as known, so a load that broke off can be repeated. The table of known documents is
+    reduced to the ids of this load first, so a small load costs no shuffle of it.
     """
     spark = docs.sparkSession
     columns = ["doc_id", "text"] + ([order_by] if order_by not in (None, "doc_id", "text") else [])
     docs = docs.select(*columns)
-    if is_index(spark, path):
-        docs = new_documents(docs, open_index(spark, path, without_load=load).doc_stats, order_by)
-    elif order_by is not None:
-        docs = new_documents(docs, docs.limit(0), order_by)
-    counts = term_counts(docs, keep_empty=True, by_document=order_by is not None, **options)
-    counted = stage(with_norms(counts), "counted")
-    write_load(spark, index_frames(counted), path, load)
+    if order_by is not None:
+        docs = first_per_document(docs, order_by)
+    if any(name != load for name in load_names(spark, path)):
+        known = open_index(spark, path, without_load=load).doc_stats
+        with staged(docs.select("doc_id").distinct(), "batch-ids") as ids:
+            docs = new_documents(docs, known_among(ids, known))
+            _count_and_write(spark, docs, path, load, options)
+    else:
+        _count_and_write(spark, docs, path, load, options)
 
 
-def lay_out(index: Index, name: str, path: str, buckets: int) -> Index:
+def _count_and_write(spark: SparkSession, docs: DataFrame, path: str, load: str, options: dict) -> None:
+    with staged(with_norms(term_counts(docs, keep_empty=True, **options)), "counted") as counted:
+        write_load(spark, index_frames(counted), path, load)
+
+
+def lay_out(index: Index, name: str, path: str, buckets: int | None = None) -> Index:
     """Rewrite an index as two bucketed tables, ``<name>_postings`` and ``<name>_doc_stats``.
 
+    Without ``buckets`` their number follows the postings: one for every ``BUCKET_ROWS`` of them, 8 at least.
+
     Both are bucketed by document, so scoring, flags per document and joins with ``doc_stats`` aggregate without an
     exchange and no bucket grows with the frequency of a term. Inside its bucket each file is sorted by term, so that
     the row groups of other terms are skipped.
     """
+    if buckets is None:
+        buckets = max(8, -(-index.postings.count() // BUCKET_ROWS))
     postings = index.postings.repartition(buckets, "doc_id")
     for frame, table, order in (
         (postings, "postings", ["term", "doc_id"]),

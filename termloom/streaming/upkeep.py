@@ -13,12 +13,15 @@ def keep_current(
     path: str,
     checkpoint: str,
     name: str = "stream",
-    order_by: str | None = "text",
+    order_by: str | None = None,
     available_now: bool = True,
     **options,
 ) -> StreamingQuery:
     """Start a query that indexes each micro-batch of ``doc_id, text`` as one load of the index at ``path``.
 
+    ``order_by`` names the column that picks among rows of one batch that share an id; without it ids must be unique
+    in a batch. Of rows in different batches the earlier one stays.
+
     A batch that is run again after a failure replaces its own load, and ids that are known already are skipped, so
     a replay under a new checkpoint (give it another ``name``) changes nothing.
     """

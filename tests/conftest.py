@@ -14,8 +14,9 @@ FIXTURES = os.path.join(ROOT, "tests", "fixtures")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
+    session = local_session("8", shuffle_partitions=8, shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

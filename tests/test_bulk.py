@@ -103,7 +103,21 @@ def test_stems_looked_up_equal_stems_in_place(spark, english, monkeypatch):
 
     counts = english.postings.select("doc_id", "term", "tf")
     expected = rows(stems.stem_counts(counts))
-    vocabulary = stems.stem_vocabulary(counts)
-    assert rows(stems.look_up_stems(counts, vocabulary).select("doc_id", "term", "tf")) == expected
-    monkeypatch.setattr(stems, "fits_broadcast", lambda *a, **k: False)
-    assert rows(stems.look_up_stems(counts, vocabulary).select("doc_id", "term", "tf")) == expected
+    whole = stems.stem_vocabulary(counts)
+    frequent = stems.frequent_stems(counts, share=60)
+    assert 0 < frequent.count() < whole.count()
+    for fits in (True, False):
+        monkeypatch.setattr(stems, "fits_broadcast", lambda *a, fits=fits, **k: fits)
+        for vocabulary in (whole, frequent, whole.limit(3), whole.limit(0)):
+            assert rows(stems.stem_counts(counts, vocabulary)) == expected
+
+
+def test_terms_beyond_the_vocabulary_are_stemmed_too(spark, monkeypatch):
+    from termloom.operators import stems
+
+    counts = spark.createDataFrame([(1, "storms", 2), (1, "winds", 1), (1, None, 0)], "doc_id bigint, term string, tf bigint")
+    vocabulary = spark.createDataFrame([("storms", "storm")], "term string, stem string")
+    for fits in (True, False):
+        monkeypatch.setattr(stems, "fits_broadcast", lambda *a, fits=fits, **k: fits)
+        found = {r["term"]: r["tf"] for r in stems.stem_counts(counts, vocabulary).collect()}
+        assert found == {"storm": 2, "wind": 1, None: 0}

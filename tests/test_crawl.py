@@ -30,7 +30,7 @@ def test_reach_by_depth(spark):
 
 
 def test_budget_and_frontier_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr("termloom.operators.crawl.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("termloom.operators.crawl.fits_broadcast", lambda frame: False)
     monkeypatch.setattr("termloom.operators.joins.MIN_CELL_ROWS", 1)
     seeds = spark.createDataFrame([(0,)], "node bigint")
     found = reach(graph(spark), seeds, max_pages=10).collect()
@@ -95,3 +95,29 @@ def test_crawl_and_index(spark, tmp_path):
     state, index = crawl_and_index(pages(spark), seed(spark, "http://a/1"), str(tmp_path / "ix"), "a")
     assert sorted(r["doc_id"] for r in index.doc_stats.collect()) == ["http://a/1?u=x", "http://a/2"]
     assert {r["term"] for r in index.postings.collect()} >= {"storm", "wind", "one", "two"}
+
+
+def test_a_long_chain_costs_the_same_per_level(spark, monkeypatch):
+    sizes = []
+    from termloom.operators import crawl as module
+
+    def watched(frame, name):
+        if name == "level":
+            sizes.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+        return stage(frame, name)
+
+    stage = module.stage
+    monkeypatch.setattr(module, "stage", watched)
+    chain = spark.range(62).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = reach(stage(chain, "chain"), spark.createDataFrame([(0,)], "node bigint")).collect()
+    assert {r["node"]: r["depth"] for r in found} == {k: k for k in range(63)}
+    assert len(sizes) == 64 and max(sizes) <= module.SEEN_LEVELS + 2
+
+
+def test_one_page_per_link(spark, tmp_path):
+    rows = [("http://a/1?v=2", "<p>second"), ("http://a/1?v=1", "<p>first"), ("http://a/1?v=1", "<p>first")]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    seeds = spark.createDataFrame([("http://a/1",)], "url string")
+    state, index = crawl_and_index(pages, seeds, str(tmp_path / "ix"), "c", max_pages=1)
+    assert [tuple(r) for r in state.collect()] == [("http://a/1", 0, "visited")]
+    assert [r["doc_id"] for r in index.doc_stats.collect()] == ["http://a/1?v=1"]

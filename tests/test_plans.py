@@ -51,3 +51,27 @@ def test_bucketed_scores_need_no_exchange(spark, tmp_path):
     queries = spark.createDataFrame([(1, "rain storm"), (2, "sun")], "query_id bigint, text string")
     text = plan(vector_bulk(laid, queries, top=3))
     assert "hashpartitioning(query_id#" in text and not re.search(r"hashpartitioning\(query_id#\w+, doc_id", text)
+
+
+def test_no_order_by_text(spark, tmp_path):
+    pages = spark.createDataFrame([("http://a/1", "<p>x")], "url string, html string")
+    from termloom.sources.documents import page_documents
+
+    text = plan(first_per_document(page_documents(pages, keep=("url",)), "url"))
+    assert "Sort" in text and not any("text" in line.split("[", 1)[-1].split("]")[0] for line in text.splitlines() if "Sort [" in line)
+
+
+def test_bulk_boolean_reads_postings_and_clauses_once(spark, tmp_path, monkeypatch):
+    from termloom.operators import boolean
+
+    index, staged = stored(spark, tmp_path), []
+    monkeypatch.setattr(boolean, "stage", lambda frame, name: staged.append(plan(frame)) or stage(frame, name))
+    from termloom.session import stage
+
+    rows = [(1, 1, "rain", False), (1, 1, "storm", True), (2, 1, "sun", True), (3, 1, "w1", True)]
+    clauses = stage(spark.createDataFrame(rows, "query_id bigint, clause_id int, term string, negated boolean"), "c")
+    found = boolean.boolean_bulk(index, clauses)
+    whole = "".join(staged) + plan(found)
+    assert len(re.findall(r"FileScan parquet \[term#\d+,doc_id#\d+L?\]", whole)) == 1
+    assert len(re.findall(r"FileScan parquet \[query_id[^\]]*clause_id[^\]]*term[^\]]*negated", staged[0])) == 1
+    assert sorted(map(tuple, found.collect()))[:2] == [(2, 1), (2, 3)]

@@ -17,7 +17,8 @@ from termloom import (
     write_results,
 )
 from termloom.sources.documents import html_pages, page_documents
-from termloom.sources.index_store import is_index
+from termloom.sources import index_store
+from termloom.sources.index_store import compact_loads, is_index, known_among, load_names
 
 
 def contents(index):
@@ -51,15 +52,58 @@ def test_load_again_replaces(spark, tmp_path):
     assert contents(open_index(spark, path)) == before
 
 
-def test_broken_load_is_not_seen(spark, tmp_path):
+def test_broken_loads_are_not_seen(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "ix")
     add_documents(frame(spark, ROWS[:2]), path, "a")
-    before = contents(open_index(spark, path))
-    stray = spark.createDataFrame([("storm", 9, 1, 1.0)], "term string, doc_id bigint, tf bigint, l_d double")
-    stray.write.parquet(f"{path}/postings/load=load-b")
-    assert contents(open_index(spark, path)) == before
+    add_documents(frame(spark, ROWS[2:3]), path, "b")
+    opened = open_index(spark, path)
+    before = contents(opened)
+
+    def broken(frames):
+        index = index_frames(frames)
+        failing = index.doc_stats.select("doc_id", F.raise_error(F.lit("lost")).cast("double").alias("l_d"))
+        return index_store.Index(index.postings, failing)
+
+    index_frames = index_store.index_frames
+    monkeypatch.setattr(index_store, "index_frames", broken)
+    for load in ("b", "c"):
+        with pytest.raises(Exception, match="lost"):
+            add_documents(frame(spark, ROWS), path, load)
+        assert contents(open_index(spark, path)) == before and load_names(spark, path) == ["a", "b"]
+    monkeypatch.setattr(index_store, "index_frames", index_frames)
     add_documents(frame(spark, ROWS), path, "b")
-    assert len(contents(open_index(spark, path))[1]) == 4
+    # Who had opened the index before the load was run again still reads what was there then.
+    assert contents(opened) == before
+    assert len(contents(open_index(spark, path))[1]) == 4 and load_names(spark, path) == ["a", "b"]
+
+
+def test_compaction(spark, tmp_path):
+    path = str(tmp_path / "ix")
+    for number, row in enumerate(ROWS):
+        add_documents(frame(spark, [row]), path, f"load-{number}")
+    before, opened = contents(open_index(spark, path)), open_index(spark, path)
+    compact_loads(spark, path, "all")
+    assert load_names(spark, path) == ["all"] and contents(open_index(spark, path)) == before == contents(opened)
+    add_documents(frame(spark, [(9, "new storm"), *ROWS]), path, "more")
+    assert load_names(spark, path) == ["all", "more"] and open_index(spark, path).doc_stats.count() == len(ROWS) + 1
+
+
+def test_known_documents_are_not_shuffled_for_a_small_batch(spark, tmp_path):
+    path = str(tmp_path / "ix")
+    add_documents(frame(spark, ROWS), path, "a")
+    known = known_among(frame(spark, ROWS[:1]).select("doc_id"), open_index(spark, path).doc_stats)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_staged_counts_are_freed(spark, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    from termloom.session import shared_folder, staged
+
+    with staged(frame(spark, ROWS), "kept-for-a-while") as held:
+        assert held.count() == 4
+    assert not [n for n in os.listdir(shared_folder(spark).removeprefix("file:")) if n.startswith("kept-for-a-while")]
+    assert folder == spark.conf.get("spark.checkpoint.dir", None)
 
 
 def test_repeated_ids_keep_the_first(spark, tmp_path):
@@ -82,6 +126,23 @@ def test_folder(spark, tmp_path):
         read_text_folder(spark, str(tmp_path / "in")).collect()
 
 
+NAMES = ["a b.txt", "50%.txt", "a+b", "x#y?z", "κομήτης", "_x", ".x", "empty", "_empty", "100%25"]
+
+
+@pytest.mark.parametrize("doc_id", ["basename", "path"])
+def test_every_file_counts_under_its_own_name(spark, tmp_path, doc_id):
+    folder = tmp_path / "in" / "sub folder" / "_hidden"
+    folder.mkdir(parents=True)
+    for place in (folder, tmp_path / "in"):
+        for name in NAMES:
+            (place / name).write_text("" if "empty" in name else f"storm {name}", encoding="utf-8")
+    found = read_text_folder(spark, str(tmp_path / "in"), doc_id).collect()
+    texts = sorted((r["doc_id"].rsplit("/", 1)[1] if doc_id == "path" else r["doc_id"], r["text"]) for r in found)
+    assert texts == sorted(2 * [(n, "" if "empty" in n else f"storm {n}") for n in NAMES])
+    assert len({r["path"] for r in found}) == len(found)
+    assert index_folder(spark, str(tmp_path / "in"), str(tmp_path / "ix"), "a").doc_stats.count() == len(NAMES)
+
+
 def test_stemmed_folder(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x").write_text("Hurricanes hurricane knives")
@@ -122,14 +183,15 @@ def test_bucketed_layout(spark, tmp_path, english):
 def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     source, path = tmp_path / "in", str(tmp_path / "ix")
     source.mkdir()
-    for number, (doc, text) in enumerate(ROWS + [(1, "storm again")]):
+    # An empty file is a document of a folder, but no stream sees it.
+    for number, (doc, text) in enumerate([r for r in ROWS if r[1]] + [(1, "storm again")]):
         (source / f"{doc}-{number}").write_text(text)
     add_documents(read_text_folder(spark, str(source)), str(tmp_path / "batch"), "a", order_by="path")
     arriving = stream_text_folder(spark, str(source), files_per_batch=2)
     keep_current(arriving, path, str(tmp_path / "c1"), order_by="path").awaitTermination()
     before = contents(open_index(spark, path))
     assert before == contents(open_index(spark, str(tmp_path / "batch")))
-    assert len(os.listdir(f"{path}/doc_stats")) >= 3
+    assert len(load_names(spark, path)) >= 3
     keep_current(arriving, path, str(tmp_path / "c2"), name="again", order_by="path").awaitTermination()
     assert contents(open_index(spark, path)) == before
     (source / "new").write_text("rain")

