@@ -58,6 +58,23 @@ kneaded knead knightly knight knitted knit knives knive knocks knock knotty knot
 ties tie cries cri gas gas this this kiwis kiwi gaps gap luxuriated luxuri hopping hop hoped hope sized size
 feed feed agreed agre happy happi enjoy enjoy by by say say relational relat conditional condit rationalize ration
 generously generous communication communic inning inning proceed proceed exceeds exceed national nation
+consign consign consignment consign consist consist consisted consist consistent consist consistently consist
+consisting consist consists consist consolations consol console consol consoled consol consoles consol
+consolidate consolid consolidated consolid consolidating consolid consoling consol consolingly consol consols consol
+consonant conson consort consort consorted consort consorting consort conspicuous conspicu conspicuously conspicu
+conspiracy conspiraci conspirator conspir conspirators conspir conspire conspir conspired conspir conspiring conspir
+constable constabl constables constabl constance constanc constancy constanc constant constant
+knack knack knackeries knackeri knacks knack knag knag knave knave knavish knavish kneading knead knee knee kneel kneel
+kneeled kneel kneeling kneel kneels kneel knees knee knell knell knelt knelt knew knew knick knick knif knif knife knife
+knight knight knights knight knits knit knitting knit knob knob knobs knob knock knock knocked knock knocker knocker
+knockers knocker knocking knock knopp knopp knot knot knots knot
+caresses caress ponies poni cats cat agreed agre plastered plaster bled bled motoring motor sing sing conflated conflat
+troubled troubl falling fall hissing hiss failing fail filing file valenci valenc digitizer digit radicalli radic
+differentli differ vileli vile analogousli analog predication predic operator oper feudalism feudal decisiveness decis
+hopefulness hope callousness callous formaliti formal sensitiviti sensit sensibiliti sensibl triplicate triplic
+formative format formalize formal electriciti electr electrical electr hopeful hope goodness good revival reviv
+allowance allow inference infer airliner airlin adjustable adjust defensible defens irritant irrit replacement replac
+adjustment adjust dependent depend adoption adopt communism communism activate activ effective effect bowdlerize bowdler
 activate activ rate rate cease ceas controll control roll roll yield yield youth youth boy boy dog- dog- - - is is
 """.split()
 
