@@ -277,7 +277,8 @@ qt AS (SELECT DISTINCT query_id, term FROM (SELECT item_id AS query_id, unnest({
 held AS (SELECT query_id, doc_id, count(*) AS n FROM qt JOIN tc USING (term) GROUP BY ALL),
 size AS (SELECT query_id, count(*) AS n FROM qt GROUP BY ALL)
 SELECT query_id, doc_id FROM held JOIN size USING (query_id, n)
-UNION SELECT query_id, doc_id FROM size CROSS JOIN docs WHERE NOT EXISTS (FROM held h WHERE h.query_id = size.query_id AND h.doc_id = docs.doc_id)""",
+UNION SELECT query_id, doc_id FROM (SELECT query_id, min(term) AS term, max(term) AS last FROM qt GROUP BY query_id HAVING min(term) <> max(term)) e
+JOIN tc USING (term) WHERE NOT EXISTS (FROM tc t WHERE t.doc_id = tc.doc_id AND t.term = last)""",
     "bool_dnf": f"""WITH one AS ({doc_set(f"({has('tion')} AND NOT {has('and')}) OR ({has('ther')} AND {has('retion')})")}),
 two AS ({doc_set(f"NOT {has('and')}")}), three AS ({doc_set(f"NOT {has('and')} AND NOT {has('tion')}")})
 SELECT CAST(1 AS BIGINT) AS query_id, doc_id FROM one UNION ALL SELECT CAST(2 AS BIGINT), doc_id FROM two UNION ALL SELECT CAST(3 AS BIGINT), doc_id FROM three""",
