@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def open_folder(folder: str) -> tuple[pa.fs.FileSystem, str]:
@@ -42,3 +43,15 @@ def write_with_manifest(
     spark = rows.sparkSession
     rows.mapInArrow(write, schema).write.parquet(f"{folder}/manifest")
     return spark.read.schema(schema).parquet(f"{folder}/manifest")
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send at most so many rows to Python at a time while an action inside runs, for wide rows of long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

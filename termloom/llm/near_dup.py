@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .files import batch_rows
 from .words import Texts, find_words, keyed, mix, sequence_hash, stride, text_groups, window_hashes
 
 SHINGLE_WORDS = 5
@@ -22,6 +23,9 @@ SLOT_BITS = 4
 # Of 128 slots cut to 4 bits, 30 differ on average at the least similarity, with a deviation below 4.9.
 MAX_DIFFERENT_SLOTS = 54
 ELEMENT_BLOCK = 1 << 16
+GROUP_BYTES = 1 << 19
+# Rows per Arrow batch, which a worker holds whole.
+SKETCH_ROWS, PAIR_ROWS = 1000, 250
 
 SKETCHES = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>, bits array<bigint>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +102,7 @@ def _offer(signature: np.ndarray, elements: np.ndarray, owner: np.ndarray, slots
 
 def sketch_texts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Set sizes, two halves of a key of the whole set, band hashes and packed signatures, for each run of texts of a column."""
-    for texts in text_groups(column):
+    for texts in text_groups(column, GROUP_BYTES):
         elements, bounds = shingle_sets(texts)
         sizes = np.diff(bounds)
         owner = np.repeat(np.arange(len(texts)), sizes)
@@ -174,7 +178,7 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             linked = np.zeros(batch.num_rows, bool)
             # Pairs mostly come ordered by b, so that a text with many partners is cut into shingles once.
             done, kept_text, kept_set = 0, None, None
-            for texts in text_groups(batch.column(2)):
+            for texts in text_groups(batch.column(2), GROUP_BYTES):
                 sets, bounds = shingle_sets(texts)
                 others = batch.column(3).slice(done, len(texts))
                 for k in range(len(texts)):
@@ -190,7 +194,8 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 done += len(texts)
             yield batch.select(["a", "b"]).filter(pa.array(linked))
 
-    return joined.mapInArrow(check, "a bigint, b bigint").distinct()
+    with batch_rows(joined.sparkSession, PAIR_ROWS):
+        return stage(joined.mapInArrow(check, "a bigint, b bigint").distinct(), "verified")
 
 
 def union_find(edges: Iterator[tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
@@ -307,7 +312,7 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         new = verify(pairs, docs)
-        links = stage(new if links is None else links.union(new), "links")
+        links = new if links is None else links.union(new)
         tested = pairs if tested is None else tested.union(pairs)
         if number < len(BANDS_PER_BUCKET):
             groups = stage(components(links), "groups")
@@ -335,7 +340,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     null texts are linked with nothing. Rows with a null id have a null ``component_id``, are linked with nothing and
     kept. Rows that share an id count as one document and stand or fall together. An empty table gives no rows.
     """
-    found = stage(sketches(docs), "sketches")
+    with batch_rows(docs.sparkSession, SKETCH_ROWS):
+        found = stage(sketches(docs), "sketches")
     filled = found.filter("n_shingles > 0 and doc_id is not null")
     classes = stage(
         filled.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")),
