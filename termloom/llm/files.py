@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -11,6 +13,8 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import new_path
+
 
 def open_folder(folder: str) -> tuple[pa.fs.FileSystem, str]:
     """File system and path of a folder: a plain path, file:, hdfs:, s3: or gs:."""
@@ -55,3 +59,24 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _shipped or not os.path.isdir(package):
+        return
+    folder = new_path(spark, "package")
+    fs, path = open_folder(folder)
+    fs.create_dir(path, recursive=True)
+    with fs.open_output_stream(f"{path}/termloom.zip", compression=None) as out, zipfile.ZipFile(out, "w") as archive:
+        for place, _, names in os.walk(package):
+            for name in (n for n in sorted(names) if n.endswith(".py")):
+                file = os.path.join(place, name)
+                archive.write(file, os.path.relpath(file, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(f"{folder}/termloom.zip")
+    _shipped.add(app)
