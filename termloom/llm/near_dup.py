@@ -20,8 +20,8 @@ BAND_SLOTS = 4
 # Buckets of many slots bring the most similar documents together first: so many bands make one bucket in each round.
 BANDS_PER_BUCKET = (4, 2, 1)
 SLOT_BITS = 4
-# Of 128 slots cut to 4 bits, 30 differ on average at the least similarity, with a deviation below 4.9.
-MAX_DIFFERENT_SLOTS = 54
+# Of 128 slots cut to 4 bits, 30 differ on average at the least similarity, with a deviation of about 4.
+MAX_DIFFERENT_SLOTS = 51
 ELEMENT_BLOCK = 1 << 16
 GROUP_BYTES = 1 << 19
 # Rows per Arrow batch, which a worker holds whole.
@@ -277,20 +277,24 @@ def _buckets(classes: DataFrame, bands: int, groups: DataFrame | None) -> DataFr
 def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """All links between ``classes(doc_id, n_shingles, bands, bits)``, up to ones inside one group.
 
-    The first rounds compare every member of a bucket with one pivot, its smallest member, unless both are in one
-    group by then: from buckets of many bands, which only very similar documents share, to buckets of one. So a large
-    group of near copies falls together after a few comparisons per member. The last round takes all pairs of a bucket
+    The first rounds compare every member of a bucket with one pivot, unless both are in one group by then: from
+    buckets of many bands, which only very similar documents share, to buckets of one. Each bucket has a pivot of its
+    own, chosen by hash, so that a member of a large group of near copies meets many of them and the group falls
+    together. The last round takes all pairs of a bucket
     that are still in different groups and whose packed signatures leave a similarity of 75 % possible (at that
-    similarity the chance to miss is below one in a million), however many they are.
+    similarity the chance to miss is about one in a million), however many they are.
     """
     tested = links = groups = None
     for number, bands in enumerate([*BANDS_PER_BUCKET, BANDS_PER_BUCKET[-1]]):
         members = _buckets(classes, bands, groups)
         if number < len(BANDS_PER_BUCKET):
-            first = F.min(F.struct("doc_id", "component_id")).alias("pivot")
+            order = F.xxhash64("doc_id", "bucket").alias("order")
+            first = F.min(F.struct(order, "doc_id", "component_id")).alias("pivot")
             compared = members.join(stage(members.groupBy("bucket").agg(first), "pivots"), "bucket")
             pairs = compared.filter("component_id <> pivot.component_id")
-            pairs = pairs.select(F.col("doc_id").alias("a"), F.col("pivot.doc_id").alias("b"))
+            pairs = pairs.select(
+                F.greatest("doc_id", "pivot.doc_id").alias("a"), F.least("doc_id", "pivot.doc_id").alias("b")
+            )
             pairs = _possible(pairs.distinct(), classes)
         else:
             # Every member takes its signature along, so that impossible pairs end inside the join.
