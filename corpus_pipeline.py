@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import contaminated
-from termloom.llm.files import ship_package
+from termloom.llm.files import prepare_session
 from termloom.llm.gam import apply_model, features, train
 from termloom.llm.near_dup import near_duplicates
 from termloom.llm.packing import pack_documents
@@ -25,7 +25,7 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that keep to the quality rules."""
-    ship_package(spark)
+    prepare_session(spark)
     return passing(docs)
 
 
@@ -34,7 +34,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     The same fold as in the registered query is held out. Rows that share an id go together when one is rejected.
     """
-    ship_package(spark)
+    prepare_session(spark)
     found = stage(features(docs), "features")
     scored = apply_model(found, train(found, table(spark, sf_dir, "labels"), held_out=id_hash() % 4 == 2))
     return _without(docs, scored.filter("predicted = 0"))
@@ -42,7 +42,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id; empty ones are in no group."""
-    ship_package(spark)
+    prepare_session(spark)
     return _without(docs, near_duplicates(docs).filter(~F.col("kept")))
 
 
@@ -53,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 2048 tokens."""
-    ship_package(spark)
+    prepare_session(spark)
     return pack_documents(docs, default_tokenizer_file())
 
 

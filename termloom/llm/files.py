@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import new_path
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000
+
+
 def open_folder(folder: str) -> tuple[pa.fs.FileSystem, str]:
     """File system and path of a folder: a plain path, file:, hdfs:, s3: or gs:."""
     return pa.fs.FileSystem.from_uri(folder)
@@ -52,18 +56,28 @@ def write_with_manifest(
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Send at most so many rows to Python at a time while an action inside runs, for wide rows of long texts."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(ARROW_ROWS, before)
 
 
 _shipped: set[str] = set()
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Fit a session to long texts: rows per Arrow batch down to ``TEXT_ROWS``, the package on all executors.
+
+    Workers and executors hold whole batches on both sides of a Python stage, so their size is what memory follows.
+    """
+    rows = int(spark.conf.get(ARROW_ROWS))
+    if rows <= 0 or rows > TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
+    ship_package(spark)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per application, wherever the driver found it."""
     app = spark.sparkContext.applicationId

@@ -158,7 +158,7 @@ def quality_rules(docs: DataFrame, bands: CompressionBands | None = None) -> Dat
     """Counts and verdict for every row of ``docs(doc_id, text, ...)``; other columns are ignored.
 
     One pass without a shuffle. A null or empty text has no words and fails the base rule. Repeated rows are judged
-    one by one, null ids are kept, an empty table gives no rows. Texts are read whole, up to 2 MB of them at a time;
+    one by one, null ids are kept, an empty table gives no rows. Texts are read whole, up to 1 MB of them at a time;
     a longer text needs some 50 times its own size for as long as it is judged.
     """
     bands = bands or CompressionBands()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_path
 from .decontaminate import contaminated
-from .files import ship_package
+from .files import prepare_session
 from .gam import classify
 from .html_text import extract_text
 from .licenses import recognise_licences
@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from .words import Texts, range_hashes, text_groups
 
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 600_000
 CALL_BYTES = 1 << 16
 BLANK, LINE_FEED = 0x20, 0x0A
 _ASCII_SPACE = np.zeros(256, bool)
