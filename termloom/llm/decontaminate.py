@@ -2,9 +2,10 @@
 
 Words are compared in lower case, without punctuation at either end, so that re-punctuated copies still align. Each
 benchmark item is cut into stretches of its n-grams, and in each stretch the n-grams that the corpus holds least often
-are its seeds: however often an item was copied into the corpus, each stretch of it keeps a seed. A seed in a document
-gives a passage as long as the item allows; passages of one document and item that overlap are one. The passage and
-the item are aligned word by word, gaps and replaced words cost, and the matched share of the item decides.
+are its seeds. An n-gram in a document gives a passage as long as the item allows; passages of one document and item
+that overlap are one. Those with a seed are aligned, those that only other n-grams point at as well unless they share
+too few words with the item to count under any alignment: edited copies may hold none of the seeds. The passage and the
+item are aligned word by word, gaps and replaced words cost, and the matched share of the item decides.
 """
 
 from __future__ import annotations
@@ -131,10 +132,14 @@ def gram_frequencies(docs: DataFrame, grams: np.ndarray) -> dict[int, int]:
 
 
 def choose_seeds(items: Items, frequency: dict[int, int]) -> np.ndarray:
-    """Numbers of the n-grams of the items that are seeds: the rarest of each stretch, earlier ones first on a tie."""
+    """Numbers of the n-grams of the items that are seeds: the rarest of each stretch, earlier ones first on a tie.
+
+    N-grams that no document holds can't point at anything and are left out.
+    """
     n = np.array([frequency.get(g, 0) for g in items.grams.tolist()], np.int64)
     stretch = items.gram_place // STRETCH
     order = np.lexsort((items.gram_place, n, stretch, items.gram_item))
+    order = order[n[order] > 0]
     key = items.gram_item[order].astype(np.int64) << 32 | stretch[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
     rank = np.arange(len(key)) - np.repeat(first, np.diff(np.r_[first, len(key)]))
@@ -177,13 +182,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def aligned_pairs(
-    words: Words, n_texts: int, items: Items, lookup: Lookup, seed_of: tuple[np.ndarray, np.ndarray, np.ndarray]
+    words: Words, n_texts: int, items: Items, lookup: Lookup, gram_of: tuple[np.ndarray, ...], min_share: float
 ) -> Iterator[tuple]:
-    """Align each passage that a seed points at; yields text, item, score, matched words, and where.
+    """Align each passage that can count; yields text, item, score, matched words, and where.
 
-    ``seed_of``: for each known hash the bounds of its seeds, and of each seed item and place.
+    ``gram_of``: for each known hash the bounds of its n-grams, and of each n-gram item, place, and whether it is a seed.
     """
-    bounds, seed_item, seed_place = seed_of
+    bounds, gram_item, gram_place, is_seed = gram_of
     hashes, first = grams_of(words.hash, words.text)
     place, number = lookup.find(hashes)
     if not len(place):
@@ -191,44 +196,61 @@ def aligned_pairs(
     counts = bounds[number + 1] - bounds[number]
     which = np.repeat(bounds[number] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
     word = np.repeat(first[place], counts)
-    item = seed_item[which]
+    item = gram_item[which]
     text = words.text[word]
     length = np.diff(items.bounds)[item]
     text_start = np.cumsum(words.per_text) - words.per_text
     # The item laid over the document, with a third of it (and four words) to spare on either side for insertions.
     spare = length // 3 + 4
-    low = np.maximum(word - seed_place[which] - spare, text_start[text])
-    high = np.minimum(word - seed_place[which] + length + spare, text_start[text] + words.per_text[text])
+    low = np.maximum(word - gram_place[which] - spare, text_start[text])
+    high = np.minimum(word - gram_place[which] + length + spare, text_start[text] + words.per_text[text])
     order = np.lexsort((low, item, text))
-    low, high, item, text = low[order], high[order], item[order], text[order]
+    low, high, item, text, seeded = low[order], high[order], item[order], text[order], is_seed[which][order]
+    # All n-grams of an intact copy give the same passage.
+    again = (low[1:] == low[:-1]) & (high[1:] == high[:-1]) & (item[1:] == item[:-1]) & (text[1:] == text[:-1])
+    once = np.flatnonzero(np.r_[True, ~again])
+    seeded = np.logical_or.reduceat(seeded, once)
+    low, high, item, text = low[once], high[once], item[once], text[once]
     # Passages that overlap become one, up to twice the longest; where many follow each other, they are aligned in turn.
-    passages: list[tuple[int, int, int, int]] = []
-    for lo, hi, it, tx in zip(low.tolist(), high.tolist(), item.tolist(), text.tolist()):
+    passages: list[tuple[int, int, int, int, bool]] = []
+    for lo, hi, it, tx, seed in zip(low.tolist(), high.tolist(), item.tolist(), text.tolist(), seeded.tolist()):
         if passages:
-            a, b, p_item, p_text = passages[-1]
+            a, b, p_item, p_text, p_seed = passages[-1]
             if (p_text, p_item) == (tx, it) and lo <= b:
-                if hi <= b:
+                if hi <= b or hi - a <= 2 * (hi - lo):
+                    passages[-1] = (a, max(b, hi), it, tx, p_seed or seed)
                     continue
-                if hi - a <= 2 * (hi - lo):
-                    passages[-1] = (a, hi, it, tx)
-                    continue
-        passages.append((lo, hi, it, tx))
-    sizes = np.array([(len_of(items, it), hi - lo) for lo, hi, it, _ in passages])
+        passages.append((lo, hi, it, tx, seed))
+    passages = [p for p in passages if p[4] or _can_count(items, p[2], words.hash[p[0] : p[1]], min_share)]
+    if not passages:
+        return
+    sizes = np.array([(len_of(items, it), hi - lo) for lo, hi, it, *_ in passages])
     for some in _batches(np.argsort(sizes[:, 0] * sizes[:, 1], kind="stable"), sizes):
         n_item, n_passage = sizes[some].max(axis=0)
         left, right = np.zeros((len(some), n_item), np.uint64), np.zeros((len(some), n_passage), np.uint64)
         for row, p in enumerate(some.tolist()):
-            lo, hi, it, _ = passages[p]
+            lo, hi, it, *_ = passages[p]
             left[row, : len_of(items, it)] = items.words[items.bounds[it] : items.bounds[it + 1]]
             right[row, : hi - lo] = words.hash[lo:hi]
         score, matched, begin, end = align(left, right)
         for row, p in enumerate(some.tolist()):
-            lo, _, it, tx = passages[p]
+            lo, _, it, tx, _ = passages[p]
             yield tx, it, int(score[row]), int(matched[row]), lo + int(begin[row]) - int(text_start[tx]), int(
                 end[row] - begin[row] + 1
             )
 
 
+def _can_count(items: Items, item: int, passage: np.ndarray, min_share: float) -> bool:
+    """Whether the words of the item that the passage holds would be enough if all of them were matched."""
+    held = set(passage.tolist())
+    shared = sum(w in held for w in items.words[items.bounds[item] : items.bounds[item + 1]].tolist())
+    return _counts(MATCH * shared, MATCH * len_of(items, item), min_share)
+
+
+def _counts(score: int, full: int, min_share: float) -> bool:
+    return score >= min_share * full or score >= MATCH * LONG_PASSAGE_WORDS
+
+
 def len_of(items: Items, item: int) -> int:
     return int(items.bounds[item + 1] - items.bounds[item])
 
@@ -282,16 +304,19 @@ def _item_blocks(items: DataFrame) -> Iterator[Items]:
 
 
 def _block_pairs(docs: DataFrame, items: Items, min_share: float) -> DataFrame:
-    seeds = choose_seeds(items, gram_frequencies(docs, items.grams))
-    seeds = seeds[np.argsort(items.grams[seeds], kind="stable")]
-    known, counts = np.unique(items.grams[seeds], return_counts=True)
+    frequency = gram_frequencies(docs, items.grams)
+    is_seed = np.zeros(len(items.grams), bool)
+    is_seed[choose_seeds(items, frequency)] = True
+    used = np.flatnonzero(np.isin(items.grams, np.array(list(frequency), np.uint64)))
+    used = used[np.argsort(items.grams[used], kind="stable")]
+    known, counts = np.unique(items.grams[used], return_counts=True)
     bounds = np.concatenate([[0], np.cumsum(counts)])
     shared = docs.sparkSession.sparkContext.broadcast(
-        (items, known, (bounds, items.gram_item[seeds], items.gram_place[seeds]))
+        (items, known, (bounds, items.gram_item[used], items.gram_place[used], is_seed[used]))
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, known, seed_of = shared.value
+        items, known, gram_of = shared.value
         lookup = Lookup(known)
         names = [part.split()[0] for part in PAIRS.split(", ")]
         types = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
@@ -299,9 +324,10 @@ def _block_pairs(docs: DataFrame, items: Items, min_share: float) -> DataFrame:
             rows = []
             for texts in folded_groups(batch.column(1)):
                 words = bare_words(texts)
-                for text, item, score, matched, first, n in aligned_pairs(words, len(texts), items, lookup, seed_of):
+                found = aligned_pairs(words, len(texts), items, lookup, gram_of, min_share)
+                for text, item, score, matched, first, n in found:
                     full = MATCH * len_of(items, item)
-                    if score >= min_share * full or score >= MATCH * LONG_PASSAGE_WORDS:
+                    if _counts(score, full, min_share):
                         doc_id = batch.column(0)[texts.first + text].as_py()
                         n_item = len_of(items, item)
                         rows.append((doc_id, int(items.ids[item]), score / full, matched, n_item, first, n))

@@ -168,6 +168,35 @@ def test_contamination_on_the_table(table):
     assert exact and exact <= found
 
 
+def edited(words, every, how):
+    if how == "replaced":
+        return [f"new{i}" if i % every == every - 1 else w for i, w in enumerate(words)]
+    if how == "deleted":
+        return [w for i, w in enumerate(words) if i % every != every - 1]
+    return [x for i, w in enumerate(words) for x in ([w, f"new{i}"] if i % every == every - 1 else [w])]
+
+
+def test_edited_copies_equal_alignment_of_all_pairs(spark):
+    rnd = random.Random(12)
+    # Each item is copied once, so that the n-grams which its copy breaks are the rarest.
+    items = [[f"v{rnd.randrange(300)}" for _ in range(rnd.choice([9, 24, 40]))] for _ in range(72)]
+    edits = [(every, how) for every in (4, 5, 6) for how in ("replaced", "inserted", "deleted")]
+    rows = []
+    for i, item in enumerate(items):
+        around = [[f"v{rnd.randrange(300)}" for _ in range(20)] for _ in range(2)]
+        rows.append((i, around[0] + edited(item, *edits[i % 9]) + around[1]))
+    expected = set()
+    for d, text in rows:
+        for i, item in enumerate(items):
+            score = brute_alignment(item, text)
+            if score >= 0.5 * MATCH * len(item) or score >= MATCH * 30:
+                expected.add((d, i))
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()} == expected
+    assert {(i, i) for i in range(72)} <= expected
+
+
 def test_seeds_are_rare_in_every_stretch():
     items = Items.of([1], pa.array([" ".join("abcdefghijklmnop")]))
     frequency = {int(g): (1000 if k % 6 else 1) for k, g in enumerate(items.grams)}
