@@ -60,7 +60,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\s\xa0]+")
 
@@ -79,40 +79,61 @@ class Node:
     candidate: bool = False
 
 
-def _is_content(tag: str, attributes: str, inside: bool) -> bool:
-    """False for elements that are around the content by name, role or marker. ``inside``: within an article."""
+def _attributes(source: str) -> Iterator[tuple[str, str]]:
+    """Names and values of a tag in lower case, without what stands inside the values."""
+    for name, value in _ATTRIBUTE.findall(source):
+        if name:
+            yield name.lower(), value.strip("\"'").lower()
+
+
+def _is_content(tag: str, attributes: str, inside: bool, in_text: bool) -> bool:
+    """False for elements that are around the content by name, role or marker.
+
+    ``inside``: within an article; ``in_text``: within an article or main element.
+    """
     if tag in DROPPED or (tag == "header" and not inside):
         return False
     if tag in ("html", "body", "article", "main") or not attributes:
         return _plain_article(tag, attributes)
-    return not _marked(attributes)
+    return not _marked(tag, attributes, in_text)
 
 
 def _plain_article(tag: str, attributes: str) -> bool:
     """Comments are often articles of their own; the page and its main part are never dropped by a marker."""
     if tag != "article" or not attributes:
         return True
-    words = {w for _, value in _ATTRIBUTE.findall(attributes) for w in _WORD.findall(value.lower())}
+    words = {
+        w
+        for name, value in _attributes(attributes)
+        if name in ("class", "id", "role")
+        for w in (value.split() if name == "id" else _WORD.findall(value))
+    }
     return not words & {"comment", "comments", "reply", "related", "ad", "ads", "promo", "sponsored"}
 
 
-def _marked(attributes: str) -> bool:
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+def _marked(tag: str, attributes: str, in_text: bool) -> bool:
+    """Whether an element is hidden or marked as a part around the content.
+
+    In the text of an article a marker is a whole class or id of a container. Elsewhere it may be part of a class, or of
+    the id of a container.
+    """
+    for name, value in _attributes(attributes):
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "role":
             if value in ROLES:
                 return True
-        elif MARKERS.intersection(_WORD.findall(value)):
-            return True
+        elif name in ("class", "id") and (tag in CONTAINERS or not in_text):
+            whole = in_text or (name == "id" and tag not in CONTAINERS)
+            if MARKERS.intersection(value.split() if whole else _WORD.findall(value)):
+                return True
     return False
 
 
 def parse_page(source: str) -> Node:
     """A forgiving tree of a page: optional end tags are implied, stray ones ignored, open ones closed at the end."""
     root = Node("#page")
-    stack, inside, at = [root], 0, 0
+    stack, inside, in_text, at = [root], 0, 0, 0
     find = _TOKEN.search
     while True:
         match = find(source, at)
@@ -133,6 +154,7 @@ def parse_page(source: str) -> Node:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     inside -= sum(node.tag == "article" for node in stack[depth:])
+                    in_text -= sum(node.tag in ("article", "main") for node in stack[depth:])
                     del stack[depth:]
                     break
                 if stack[depth].tag in SCOPES and tag not in SCOPES:
@@ -142,7 +164,7 @@ def parse_page(source: str) -> Node:
             stack.pop()
         if tag in BLOCKS and tag not in ("br", "li", "option"):
             _close_paragraph(stack)
-        node = Node(tag, _is_content(tag, attributes, inside > 0))
+        node = Node(tag, _is_content(tag, attributes, inside > 0, in_text > 0))
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
@@ -151,6 +173,7 @@ def parse_page(source: str) -> Node:
         elif tag not in VOID and not attributes.endswith("/") and len(stack) < MAX_DEPTH:
             stack.append(node)
             inside += tag == "article"
+            in_text += tag in ("article", "main")
 
 
 def _close_paragraph(stack: list[Node]) -> None:

@@ -244,6 +244,21 @@ def test_page_text(html, text):
     assert main_text(content_root(parse_page(html))) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p style='overflow:hidden'>a</p><p title='The hidden cost'>b</p><p data-hidden=false>c</p><p hidden>d</p>", "a\nb\nc"),
+        ("<article><h2 id=related-work>a</h2><section id='social-history'><p>b</p></section><p id='comments'>c</p>"
+         "<h2 class='menu'>d</h2><div class='post share'>no</div></article>", "a\nb\nc\nd"),
+        ("<main><div id='menu-of-options'>a</div><div id=menu>no</div></main>", "a"),
+        ("<h2 id='comments-on-results'>a</h2><div id='comments-list'>no</div><p title=\"class='ad'\">b</p>", "a\nb"),
+        ("<div aria-hidden='true'>no</div><div data-x='a' hidden>no</div><a href='/x?id=nav'>a</a>", "a"),
+    ],
+)
+def test_attributes_by_name(html, text):
+    assert main_text(content_root(parse_page(html))) == text
+
+
 def test_deep_pages():
     assert main_text(content_root(parse_page("<div>" * 5000 + "deep"))) == "deep"
 
