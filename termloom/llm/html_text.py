@@ -17,7 +17,6 @@ from ..session import stage
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
-MAX_DEPTH = 512
 
 # Names of the HTML standard, and words that mark up parts around the content.
 VOID = frozenset(
@@ -130,60 +129,86 @@ def _marked(tag: str, attributes: str, in_text: bool) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, outermost first, and where those of a tag, the scopes and the blocks are among them.
+
+    Looking up an end tag takes the same time at any depth.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self._of_tag: dict[str, list[int]] = {}
+        self._scopes: list[int] = []
+        self._blocks: list[int] = []
+
+    def _lists(self, tag: str) -> Iterator[list[int]]:
+        yield self._of_tag.setdefault(tag, [])
+        if tag in SCOPES:
+            yield self._scopes
+        if tag in BLOCKS:
+            yield self._blocks
+
+    def push(self, node: Node) -> None:
+        for places in self._lists(node.tag):
+            places.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            for places in self._lists(self.nodes.pop().tag):
+                places.pop()
+
+    def count(self, tag: str) -> int:
+        return len(self._of_tag.get(tag, ()))
+
+    def end(self, tag: str) -> None:
+        """End the innermost element of a tag, unless a scope keeps the end tag from it."""
+        places = self._of_tag.get(tag)
+        if places and (tag in SCOPES or not self._scopes or self._scopes[-1] < places[-1]):
+            self.cut(places[-1])
+
+    def close_paragraph(self) -> None:
+        """A block ends an open paragraph even when inline elements of it are still open."""
+        if self._blocks and self.nodes[self._blocks[-1]].tag == "p":
+            self.cut(self._blocks[-1])
+
+
 def parse_page(source: str) -> Node:
     """A forgiving tree of a page: optional end tags are implied, stray ones ignored, open ones closed at the end."""
     root = Node("#page")
-    stack, inside, in_text, at = [root], 0, 0, 0
+    stack, at = _Open(root), 0
     find = _TOKEN.search
     while True:
         match = find(source, at)
         if match is None:
             if at < len(source):
-                stack[-1].children.append(source[at:])
+                stack.nodes[-1].children.append(source[at:])
             return root
         if match.start() > at:
-            stack[-1].children.append(source[at : match.start()])
+            stack.nodes[-1].children.append(source[at : match.start()])
         at = match.end()
         name = match[2]
         if name is None:
             if match[0].startswith("<![CDATA["):
-                stack[-1].children.append(html.escape(match[0][9:].removesuffix("]]>")))
+                stack.nodes[-1].children.append(html.escape(match[0][9:].removesuffix("]]>")))
             continue
         tag, attributes = name.lower(), match[3]
         if match[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    inside -= sum(node.tag == "article" for node in stack[depth:])
-                    in_text -= sum(node.tag in ("article", "main") for node in stack[depth:])
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in SCOPES and tag not in SCOPES:
-                    break
+            stack.end(tag)
             continue
-        while stack[-1].tag in CLOSED_BY and tag in CLOSED_BY[stack[-1].tag]:
-            stack.pop()
+        while stack.nodes[-1].tag in CLOSED_BY and tag in CLOSED_BY[stack.nodes[-1].tag]:
+            stack.cut(len(stack.nodes) - 1)
         if tag in BLOCKS and tag not in ("br", "li", "option"):
-            _close_paragraph(stack)
-        node = Node(tag, _is_content(tag, attributes, inside > 0, in_text > 0))
-        stack[-1].children.append(node)
+            stack.close_paragraph()
+        inside = stack.count("article") > 0
+        node = Node(tag, _is_content(tag, attributes, inside, inside or stack.count("main") > 0))
+        stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
             node.children.append(source[at : end.start()] if end else source[at:])
             at = end.end() if end else len(source)
-        elif tag not in VOID and not attributes.endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(node)
-            inside += tag == "article"
-            in_text += tag in ("article", "main")
-
-
-def _close_paragraph(stack: list[Node]) -> None:
-    """A block ends an open paragraph even when inline elements of it are still open."""
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag == "p":
-            del stack[depth:]
-            return
-        if stack[depth].tag in BLOCKS:
-            return
+        elif tag not in VOID and not attributes.endswith("/"):
+            stack.push(node)
 
 
 def content_root(root: Node) -> list[Node]:

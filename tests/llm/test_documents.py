@@ -263,6 +263,14 @@ def test_deep_pages():
     assert main_text(content_root(parse_page("<div>" * 5000 + "deep"))) == "deep"
 
 
+def test_nests_beyond_any_depth_keep_their_places():
+    nest = "<div>" * 4000 + "{}" + "</div>" * 4000
+    text = lambda page: main_text(content_root(parse_page(page)))
+    assert text(f"<div><article><p>a</p>{nest.format('deep')}<p>b</p></article></div>") == "a\ndeep\nb"
+    assert text(nest.format("<article>a<nav>n</nav></article>") + "b") == "a"
+    assert text("<b><div>" + "<i>" * 4000 + "a" + "</b>" * 4000 + "</div>b") == "a\nb"
+
+
 def test_templates_of_a_host(spark):
     rows = [(i, f"http://a.com/{i}", f"<article><p>story {i}</p><p>same line</p><div class='x'>Read more here</div></article>") for i in range(30)]
     rows += [(100 + i, f"http://b.com/{i}", f"<body><div>Welcome to B</div><p>own {i}</p></body>") for i in range(10)]
