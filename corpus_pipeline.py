@@ -54,7 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 2048 tokens."""
     prepare_session(spark)
-    return pack_documents(docs, default_tokenizer_file())
+    return pack_documents(docs, default_tokenizer_file(), added_tokens=True)
 
 
 STAGES = [

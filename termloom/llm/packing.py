@@ -137,6 +137,7 @@ def pack_documents(
     end_id: int = END_ID,
     group_windows: int = GROUP_WINDOWS,
     max_piece: int = MAX_PIECE,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece of ``docs(doc_id, text, ...)`` in its window (``sequence_id``, ``offset``).
 
@@ -151,7 +152,7 @@ def pack_documents(
         packer = _Packer(capacity, group_windows, max_piece, TaskContext.get().partitionId() << 36)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, found in encode_column(tokenizer_file, batch.column(1)):
+            for first, found in encode_column(tokenizer_file, batch.column(1), added_tokens):
                 for k, ids in enumerate(found):
                     packer.add(doc_ids[first + k], np.append(ids, np.uint32(end_id)))
                 yield packer.take()

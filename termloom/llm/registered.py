@@ -61,7 +61,7 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pack all documents into windows of 2048 tokens."""
-    return pack_documents(table(spark, folder, "documents"), default_tokenizer_file())
+    return pack_documents(table(spark, folder, "documents"), default_tokenizer_file(), added_tokens=True)
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +77,7 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Write the ids of all documents as plane-split shards, read them back."""
     shards = new_path(spark, "token-ids")
-    manifest = write_token_files(table(spark, folder, "documents"), shards, default_tokenizer_file())
+    manifest = write_token_files(table(spark, folder, "documents"), shards, default_tokenizer_file(), added_tokens=True)
     found = read_token_files(manifest, shards)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 

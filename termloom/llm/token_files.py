@@ -144,7 +144,13 @@ class ShardReader:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = END_ID, bits: bool = False, shards: int | None = None
+    docs: DataFrame,
+    folder: str,
+    tokenizer_file: str,
+    end_id: int = END_ID,
+    bits: bool = False,
+    shards: int | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Encode ``docs(doc_id, text, ...)`` and write one shard per task in ascending order of ``doc_id``.
 
@@ -163,7 +169,7 @@ def write_token_files(
         shard = ShardWriter(out, bits)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, found in encode_column(tokenizer_file, batch.column(1)):
+            for first, found in encode_column(tokenizer_file, batch.column(1), added_tokens):
                 for k, ids in enumerate(found):
                     shard.add(doc_ids[first + k], np.append(ids, np.uint32(end_id)))
         counts = shard.close()

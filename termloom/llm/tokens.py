@@ -69,16 +69,19 @@ class Encoder:
     """Encodes texts with a byte-level tokenizer file: the same ids as encoding each text in one call.
 
     Pieces are looked up by hash in a bounded cache and only new ones are encoded, many to a call. Two pieces of one
-    cache share a hash with a chance of one in ten million. Strings of special tokens in a text are ordinary text.
+    cache share a hash with a chance of one in ten million. Strings of added tokens in a text are ordinary text, or with
+    ``added_tokens`` those tokens, as in a plain call of the library; texts that hold one are then encoded whole.
     """
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         tokens = self._tokenizer.get_vocab(with_added_tokens=True)
+        added = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else []
+        self._added = [token.content.encode() for token in added if token.content]
         self._opens = np.zeros(max(tokens.values()) + 1, bool)
         self._opens[[i for token, i in tokens.items() if token.startswith(("Ġ", "Ċ"))]] = True
         self._limit = cache_pieces
@@ -134,8 +137,38 @@ class Encoder:
         self._uses = uses[order]
         self._bounds = np.concatenate([[0], np.cumsum(counts[order])])
 
+    def _holding(self, texts: Texts) -> list[int]:
+        """Numbers of the texts that hold the string of an added token."""
+        if not self._added:
+            return []
+        data = texts.data.tobytes()
+        if not any(token in data for token in self._added):
+            return []
+        cuts = texts.bounds.tolist()
+        return [i for i in range(len(texts)) if any(data.find(t, cuts[i], cuts[i + 1]) >= 0 for t in self._added)]
+
+    def _encode_whole(self, text: bytes) -> np.ndarray:
+        self._tokenizer.encode_special_tokens = False
+        try:
+            return self._encode([text.decode()])[0]
+        finally:
+            self._tokenizer.encode_special_tokens = True
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of texts end to end, and the bounds of each text in them."""
+        holding = self._holding(texts)
+        if not holding:
+            return self._encode_pieces(texts)
+        whole = {i: self._encode_whole(bytes(texts.bytes_of(i))) for i in holding}
+        size = np.diff(texts.bounds)
+        left = np.ones(len(texts), bool)
+        left[holding] = False
+        others = Texts(texts.first, texts.data[np.repeat(left, size)], np.r_[0, np.cumsum(size * left)])
+        ids, bounds = self._encode_pieces(others)
+        parts = [whole[i] if i in whole else ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
+        return np.concatenate(parts), np.r_[0, np.cumsum([len(part) for part in parts])]
+
+    def _encode_pieces(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         start, end, text, plain = pieces(texts)
         distinct, first, which = np.unique(range_hashes(texts.data, start, end), return_index=True, return_inverse=True)
         at = np.searchsorted(self._hash, distinct)
@@ -164,16 +197,16 @@ def _positions(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(total[-1]) + np.repeat(start - (total - count), count)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encode_column(path: str, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+def encode_column(path: str, column: pa.Array, added_tokens: bool = False) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Ids of a column of texts (null: empty), as the number of the first text and the ids of the texts from there.
 
-    Each worker process keeps one encoder per tokenizer file.
+    Each worker process keeps one encoder per tokenizer file and way to read ``added_tokens``.
     """
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens=added_tokens)
     for texts in text_groups(column):
-        ids, bounds = _encoders[path].encode(texts)
+        ids, bounds = _encoders[path, added_tokens].encode(texts)
         yield texts.first, [ids[a:b] for a, b in zip(bounds, bounds[1:])]

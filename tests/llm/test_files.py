@@ -35,6 +35,26 @@ def test_encoder_equals_the_library(texts, encode):
     assert found == [encode(t) for t in texts + more]
 
 
+def test_added_tokens_equal_the_plain_call(spark, texts, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from termloom.llm.registered import op4_packing, op7_token_files
+
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    plain = lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert 50256 in plain("a b <|endoftext|> c")
+    more = [*texts, "a b <|endoftext|> c", "<|endoftext|>", "<|endof text|>", "x <|endoftext|><|endoftext|>\n y", "<|endof", "text|>"]
+    found = [ids.tolist() for _, some in encode_column(tokenizer_file, pa.array(more), added_tokens=True) for ids in some]
+    assert found == [plain(t) for t in more]
+    docs = spark.createDataFrame(list(enumerate(more)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = {r["doc_id"]: r["n_tokens"] for r in op7_token_files(spark, str(tmp_path)).collect()}
+    assert tokens == {k: len(plain(t)) + 1 for k, t in enumerate(more)}
+    for packed in (op4_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        assert {r["doc_id"]: r["doc_tokens"] for r in packed.collect()} == tokens
+
+
 def test_encoder_with_a_full_cache(encode):
     from termloom.llm.words import text_groups
 
