@@ -19,7 +19,7 @@ SPLIT_BYTES = 32 << 20
 READ_BYTES = 1 << 20
 OUT_BYTES = 8 << 20
 GZIP_MAGIC = b"\x1f\x8b\x08"
-MAX_HEADER_BYTES = 1 << 16
+VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, n_records bigint, n_bytes bigint"
@@ -109,7 +109,7 @@ def write_warc(marked: DataFrame, folder: str, level: int = 6) -> DataFrame:
 def parse_head(data: bytes) -> tuple[dict[str, str], int] | None:
     """Header fields (names in lower case) at the start of a record and their length; None if it isn't a record."""
     end = data.find(b"\r\n\r\n")
-    if end < 0 or not re.match(rb"WARC/\d+\.\d+\r\n", data):
+    if end < 0 or not VERSION_LINE.match(data):
         return None
     lines = data[:end].decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
@@ -148,10 +148,11 @@ class _Window:
 def _member(window: _Window, offset: int) -> tuple[bytes, int] | None:
     """Data of the gzip member at an offset and where it ends, if it holds a record; else None.
 
-    Decoding stops as soon as the data can't be a record, or the header fields are too long.
+    Decoding stops as soon as the data can't be a record. Behind a version line header fields may be of any length.
     """
     unzip = zlib.decompressobj(31)
     parts, at, feed, valid = [], offset, 4096, False
+    head = bytearray()
     try:
         while not unzip.eof:
             read = window.read(at, feed)
@@ -160,9 +161,13 @@ def _member(window: _Window, offset: int) -> tuple[bytes, int] | None:
             at, feed = at + len(read), min(2 * feed, READ_BYTES)
             parts.append(unzip.decompress(read))
             if not valid:
-                head = b"".join(parts)
-                valid = parse_head(head) is not None
-                if not valid and (b"\r\n\r\n" in head or len(head) > MAX_HEADER_BYTES or not b"WARC/".startswith(head[:5])):
+                searched = max(0, len(head) - 3)
+                head += parts[-1]
+                if head.find(b"\r\n\r\n", searched) >= 0:
+                    if parse_head(bytes(head)) is None:
+                        return None
+                    valid = True
+                elif not b"WARC/".startswith(head[:5]) or (len(head) > 64 and not VERSION_LINE.match(head)):
                     return None
     except zlib.error:
         return None

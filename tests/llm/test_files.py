@@ -193,6 +193,14 @@ def test_small_payloads_and_empty_tables(spark):
     assert read_warc(write_warc(mark_revisits(pages.filter("false")), folder), folder).count() == 0
 
 
+def test_headers_of_any_length(spark):
+    url = "data:," + "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4000))
+    pages = spark.createDataFrame([(1, url, "<p>long"), (2, "u", "<p>short")], "page_id bigint, url string, html string")
+    folder = new_path(spark, "warc")
+    records = read_warc(write_warc(mark_revisits(pages), folder), folder).collect()
+    assert {r["target_uri"] for r in records} == {url, "u"}
+
+
 def test_ranges_own_what_starts_in_them():
     def member(data):
         zipper = zlib.compressobj(0, zlib.DEFLATED, 31)
