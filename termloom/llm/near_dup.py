@@ -20,8 +20,9 @@ BAND_SLOTS = 4
 # Buckets of many slots bring the most similar documents together first: so many bands make one bucket in each round.
 BANDS_PER_BUCKET = (4, 2, 1)
 SLOT_BITS = 4
-# Of 128 slots cut to 4 bits, 30 differ on average at the least similarity, with a deviation of about 4.
-MAX_DIFFERENT_SLOTS = 51
+# Of 128 slots cut to 4 bits, 30 differ on average at the least similarity; for long texts as of independent draws, with
+# a deviation of 4.8, which leaves a chance of less than one in a million to differ in more than 54.
+MAX_DIFFERENT_SLOTS = 54
 ELEMENT_BLOCK = 1 << 16
 GROUP_BYTES = 1 << 19
 # Rows per Arrow batch, which a worker holds whole.

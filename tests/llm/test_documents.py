@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from conftest_llm import shingles, words
 
+from termloom.llm import near_dup as nd
 from termloom.llm import suffix_tree as st
 from termloom.llm.decontaminate import GAP, MATCH, MISMATCH, Items, align, bare_words, choose_seeds, contaminated, folded_groups
 from termloom.llm.html_text import content_root, extract_text, main_text, parse_page
@@ -88,6 +89,13 @@ def test_super_minhash():
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.035
 
 
+def test_packed_signatures_miss_less_than_one_link_in_a_million():
+    # Slots of long texts at exactly the least similarity differ as independent draws do.
+    p = (1 - nd.SIMILARITY_PERCENT / 100) * (1 - 2.0**-nd.SLOT_BITS)
+    beyond = range(nd.MAX_DIFFERENT_SLOTS + 1, nd.SLOTS + 1)
+    assert sum(math.comb(nd.SLOTS, k) * p**k * (1 - p) ** (nd.SLOTS - k) for k in beyond) < 1e-6
+
+
 def test_equal_sets_have_equal_keys(texts):
     (first, *_), = sketch_texts(pa.array(texts[:8])),
     sizes, key_a, key_b, *_ = first
