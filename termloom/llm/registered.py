@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from ..session import new_path
 from .decontaminate import contaminated
 from .files import prepare_session
+from .fill_middle import fill_in_middle, write_frames
 from .gam import classify
 from .html_text import extract_text
 from .licenses import recognise_licences
+from .merkle import manifest_proofs
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .suffix_tree import score_documents
 from .token_files import read_token_files, write_token_files
 from .tokens import default_tokenizer_file
+from .top_k import nearest_vectors
 from .warc import mark_revisits, page_of_record_id, read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +100,24 @@ def op10_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"), held_out=id_hash() % 7 == 2)
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Store every text as seekable frames, cut it for filling in the middle, rebuild it from the result."""
+    frames = new_path(spark, "frames")
+    index = write_frames(table(spark, folder, "documents"), frames)
+    return fill_in_middle(index, frames, texts=False)
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best of all vectors for every 20th of them."""
+    return nearest_vectors(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Hash every document into a tree per source and one over all, and check each by its proof."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return manifest_proofs(table(spark, folder, "documents"), tampered)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -108,4 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_licences": op9_licences,
     "op10_suffix_tree": op10_suffix_tree,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
