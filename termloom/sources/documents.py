@@ -12,7 +12,7 @@ from ..functions.html import html_text
 from ..session import new_path
 
 
-def _decoded(column: str) -> Column:
+def decoded(column: str) -> Column:
     """A file name or path as it is; Spark encodes it like a URL."""
     return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
 
@@ -20,9 +20,9 @@ def _decoded(column: str) -> Column:
 def _file_columns(files: DataFrame, doc_id: str) -> DataFrame:
     if doc_id not in ("basename", "path"):
         raise ValueError("doc_id must be 'basename' or 'path'")
-    name = _decoded("_metadata.file_name" if doc_id == "basename" else "_metadata.file_path")
+    name = decoded("_metadata.file_name" if doc_id == "basename" else "_metadata.file_path")
     return files.select(
-        name.alias("doc_id"), _decoded("_metadata.file_path").alias("path"), F.validate_utf8("value").alias("text")
+        name.alias("doc_id"), decoded("_metadata.file_path").alias("path"), F.validate_utf8("value").alias("text")
     )
 
 

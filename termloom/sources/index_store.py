@@ -4,38 +4,77 @@ from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..index import Index
 from ..operators.counts import index_frames, term_counts, with_norms
 from ..operators.joins import fits_broadcast
-from ..session import staged
-from .documents import first_per_document, new_documents
+from ..session import delete_folder, staged
+from .documents import decoded, first_per_document, new_documents
 
 # Rows of postings that one bucket of a layout should hold.
 BUCKET_ROWS = 2_000_000
 
 
-MANIFEST = "load string, folder string, version bigint, replaces array<string>"
+MANIFEST = (
+    "load string, folder string, version bigint, replaces array<string>, n_docs bigint, retired bigint, snapshot bigint"
+)
+# So many loads of one size class are merged into one, which is then of the next class.
+FAN = 8
+# So many entries of the manifest are summed up in a snapshot; what nobody lists any more is deleted after so long.
+SNAPSHOT_ENTRIES = 16
+GRACE_SECONDS = 3600.0
 
 
-def _manifest(spark: SparkSession, path: str) -> list[Row]:
-    """The entries that count, oldest first: of each load the latest, unless a later entry replaces the load.
+@dataclass
+class _Listing:
+    """What a manifest says: the loads that count, oldest first, folders that no longer do and since when, its files."""
 
-    One row per load; :func:`compact_loads` keeps them few.
+    live: list[Row]
+    retired: dict[str, int]
+    entries: list[Row]
+    latest_snapshot: int
+
+
+def _listing(spark: SparkSession, path: str) -> _Listing:
+    """Read the manifest.
+
+    An entry makes a load count; of entries of one load the latest does, unless a later one replaces the load. A
+    snapshot states all of that in one file, and names the entries that went into it, which are then passed over.
     """
-    try:
-        rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").collect()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return []
-        raise
-    latest = {row["load"]: row for row in sorted(rows, key=lambda r: (r["version"], r["folder"]))}
-    gone = {load: row["version"] for row in latest.values() for load in row["replaces"]}
-    return sorted((r for r in latest.values() if r["version"] > gone.get(r["load"], -1)), key=lambda r: r["version"])
+    found = spark.read.schema(MANIFEST).parquet(f"{path}/manifest") if _exists(spark, f"{path}/manifest") else None
+    rows = found.select("*", decoded("_metadata.file_path").alias("file_path"), "_metadata.file_modification_time").collect() if found is not None else []
+    snapshot = max((r["snapshot"] for r in rows if r["snapshot"] is not None), default=-1)
+    base = [r for r in rows if r["snapshot"] == snapshot]
+    summed_up = {folder for r in base if r["folder"] is None for folder in r["replaces"]}
+    retired = {r["folder"]: r["retired"] for r in base if r["retired"] is not None}
+    news = [r for r in rows if r["snapshot"] is None and r["folder"] not in summed_up]
+    known = [r for r in base if r["folder"] is not None and r["retired"] is None] + news
+    latest: dict[str, Row] = {}
+    for row in sorted(known, key=lambda r: (r["version"], r["folder"])):
+        if row["load"] in latest:
+            retired[latest[row["load"]]["folder"]] = row["version"]
+        latest[row["load"]] = row
+    gone = {load: row["version"] for row in sorted(latest.values(), key=lambda r: r["version"]) for load in row["replaces"]}
+    live = []
+    for row in sorted(latest.values(), key=lambda r: r["version"]):
+        if row["version"] > gone.get(row["load"], -1):
+            live.append(row)
+        else:
+            retired[row["folder"]] = gone[row["load"]]
+    return _Listing(live, retired, rows, snapshot)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def write_load(spark: SparkSession, index: Index, path: str, load: str, replaces: list[str] | None = None) -> None:
@@ -49,41 +88,117 @@ def write_load(spark: SparkSession, index: Index, path: str, load: str, replaces
     postings = index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
     postings.write.parquet(f"{folder}/postings")
     index.doc_stats.write.parquet(f"{folder}/doc_stats")
-    entry = [(load, folder, time.time_ns(), replaces or [])]
-    spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    n_docs = spark.read.schema(index.doc_stats.schema).parquet(f"{folder}/doc_stats").count()
+    _append(spark, path, [(load, folder, time.time_ns(), replaces or [], n_docs, None, None)])
 
 
 def is_index(spark: SparkSession, path: str) -> bool:
     """True once a first load is there."""
-    return bool(_manifest(spark, path))
+    return bool(_listing(spark, path).live)
 
 
 def load_names(spark: SparkSession, path: str) -> list[str]:
     """The loads that count, oldest first."""
-    return [row["load"] for row in _manifest(spark, path)]
+    return [row["load"] for row in _listing(spark, path).live]
 
 
-def open_index(spark: SparkSession, path: str, without_load: str | None = None) -> Index:
-    """Open a stored index as its manifest lists it now."""
-    folders = [row["folder"] for row in _manifest(spark, path) if row["load"] != without_load]
-    if not folders:
-        raise FileNotFoundError(f"no index at {path}")
+def _open(spark: SparkSession, folders: list[str]) -> Index:
     return Index(
         postings=spark.read.parquet(*[f"{f}/postings" for f in folders]).select("term", "doc_id", "tf", "l_d"),
         doc_stats=spark.read.parquet(*[f"{f}/doc_stats" for f in folders]).select("doc_id", "l_d"),
     )
 
 
+def open_index(spark: SparkSession, path: str, without_load: str | None = None) -> Index:
+    """Open a stored index as its manifest lists it now."""
+    folders = [row["folder"] for row in _listing(spark, path).live if row["load"] != without_load]
+    if not folders:
+        raise FileNotFoundError(f"no index at {path}")
+    return _open(spark, folders)
+
+
 def compact_loads(spark: SparkSession, path: str, load: str) -> None:
-    """Merge all loads into one named ``load``: few large files again after many small ones, as after streaming.
+    """Merge all loads into one named ``load``: few large files again after many small ones.
 
-    The old folders stay for readers that opened them before; delete them when no such reader is left.
+    The old folders stay for readers that opened them before; :func:`tidy_index` deletes them after a while.
     """
     names = load_names(spark, path)
     if len(names) > 1:
         write_load(spark, open_index(spark, path), path, load, replaces=[n for n in names if n != load])
 
 
+def loads_to_merge(sizes: list[tuple[str, int]], fan: int = FAN) -> list[str]:
+    """Of loads ``(name, documents)`` those to merge next: all of the smallest size class that has ``fan`` of them.
+
+    Classes are powers of ``fan``, so a document is rewritten once per class at most, and of n loads of like size
+    fewer than ``fan`` per class stay, a number that grows with the logarithm of n.
+    """
+    classes: dict[int, list[str]] = {}
+    for name, n_docs in sizes:
+        size, number = 1, 0
+        while size * fan <= n_docs:
+            size, number = size * fan, number + 1
+        classes.setdefault(number, []).append(name)
+    return next((classes[c] for c in sorted(classes) if len(classes[c]) >= fan), [])
+
+
+def merge_loads(spark: SparkSession, path: str, fan: int = FAN) -> None:
+    """Merge loads of like size until every size class holds fewer than ``fan``; readers notice nothing."""
+    if fan < 2:
+        raise ValueError("fan must be at least 2")
+    while True:
+        live = _listing(spark, path).live
+        names = set(loads_to_merge([(r["load"], r["n_docs"] or 0) for r in live], fan))
+        if not names:
+            return
+        merged = _open(spark, [r["folder"] for r in live if r["load"] in names])
+        write_load(spark, merged, path, f"merged-{uuid.uuid4().hex}", replaces=sorted(names))
+
+
+def tidy_index(spark: SparkSession, path: str, grace_seconds: float = GRACE_SECONDS, entries: int = SNAPSHOT_ENTRIES) -> None:
+    """Keep the manifest short and delete what nobody lists any more.
+
+    Once ``entries`` entries have come together they are summed up in a snapshot. Manifest files that a snapshot has
+    summed up, folders of loads that were replaced, and folders that no entry ever named (of a load that broke off) go
+    when they are older than ``grace_seconds``, which must exceed the time that a reader stays open and a load takes.
+    """
+    found, now = _listing(spark, path), time.time_ns()
+    horizon = now - int(grace_seconds * 1e9)
+    expired = {folder for folder, since in found.retired.items() if since <= horizon}
+    base = [r for r in found.entries if r["snapshot"] == found.latest_snapshot]
+    summed_up = {folder for r in base if r["folder"] is None for folder in r["replaces"]}
+    files: dict[str, list[Row]] = {}
+    for row in found.entries:
+        files.setdefault(row["file_path"], []).append(row)
+    for file, rows in files.items():
+        passed = all(r["folder"] in summed_up if r["snapshot"] is None else r["snapshot"] < found.latest_snapshot for r in rows)
+        if passed and rows[0]["file_modification_time"].timestamp() * 1e9 <= horizon:
+            delete_folder(spark, file)
+            found.entries = [r for r in found.entries if r["file_path"] != file]
+    plain = [r["folder"] for r in found.entries if r["snapshot"] is None]
+    if len(set(plain) - summed_up) >= entries or expired:
+        rows = [(r["load"], r["folder"], r["version"], [], r["n_docs"], None, now) for r in found.live]
+        rows += [(None, f, None, [], None, since, now) for f, since in found.retired.items() if f not in expired]
+        _append(spark, path, [*rows, (None, None, None, plain, None, None, now)])
+    listed = {r["folder"] for r in found.live} | (set(found.retired) - expired)
+    for folder, changed in _load_folders(spark, path):
+        if not any(folder == f.rsplit("/", 1)[1] for f in listed) and changed * 1_000_000 <= horizon:
+            delete_folder(spark, f"{path}/loads/{folder}")
+
+
+def _load_folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names of the folders of loads, and when each last changed, in milliseconds."""
+    if not _exists(spark, f"{path}/loads"):
+        return []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/loads")
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in system.listStatus(hadoop):
+        inside = [s.getModificationTime() for s in system.listStatus(status.getPath())] if status.isDirectory() else []
+        found.append((status.getPath().getName(), max([status.getModificationTime(), *inside])))
+    return found
+
+
 def known_among(ids: DataFrame, doc_stats: DataFrame) -> DataFrame:
     """``doc_id`` of the rows of ``doc_stats`` that are among ``ids(doc_id)``; a small batch is brought to the table."""
     ids = F.broadcast(ids) if fits_broadcast(ids) else ids

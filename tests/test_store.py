@@ -187,7 +187,7 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     for number, (doc, text) in enumerate([r for r in ROWS if r[1]] + [(1, "storm again")]):
         (source / f"{doc}-{number}").write_text(text)
     add_documents(read_text_folder(spark, str(source)), str(tmp_path / "batch"), "a", order_by="path")
-    arriving = stream_text_folder(spark, str(source), files_per_batch=2)
+    arriving = stream_text_folder(spark, str(source), files_per_batch=1)
     keep_current(arriving, path, str(tmp_path / "c1"), order_by="path").awaitTermination()
     before = contents(open_index(spark, path))
     assert before == contents(open_index(spark, str(tmp_path / "batch")))
