@@ -14,13 +14,11 @@ from ..functions.text import is_term, raw_words
 from ..index import Index
 from ..session import stage
 from .analysis import analyze
-from .joins import fits_broadcast, join_small_or_hot
+from .joins import fits_broadcast, join_small_or_hot, pair_all
 from .lookups import documents_not_in, term_documents
 from .stems import stem_of
 
 CONNECTIVES = ("and", "or", "not")
-# All-negative clauses are handed to the documents in packs of at most this many.
-CLAUSES_PER_PACK = 10_000
 
 
 class BadQuery(ValueError):
@@ -71,6 +69,15 @@ def flag_predicate(
     return " ".join(written), {flag: term for term, flag in flag_of.items()}
 
 
+def holds_for_none(index: Index, query: str, predicate: str, terms: dict[str, str]) -> bool:
+    """Whether a predicate holds for a document with none of the terms; one that Spark cannot read is an error."""
+    nothing = index.spark.range(1).select(*[F.lit(False).alias(flag) for flag in terms])
+    try:
+        return nothing.select(F.expr(predicate).alias("holds")).first()["holds"]
+    except (ParseException, AnalysisException) as error:
+        raise BadQuery(f"cannot read the query {query!r}") from error
+
+
 def boolean_search(index: Index, query: str, **options) -> DataFrame:
     """``doc_id, score`` (score 1) of the documents that satisfy an and/or/not expression; parentheses group.
 
@@ -81,12 +88,7 @@ def boolean_search(index: Index, query: str, **options) -> DataFrame:
     flags = index.postings.filter(F.col("term").isin(list(terms.values()))).groupBy("doc_id").agg(
         *[F.bool_or(F.col("term") == term).alias(flag) for flag, term in terms.items()]
     )
-    nothing = index.spark.range(1).select(*[F.lit(False).alias(flag) for flag in terms])
-    try:
-        holds_for_none = nothing.select(F.expr(predicate).alias("holds")).first()["holds"]
-    except (ParseException, AnalysisException) as error:
-        raise BadQuery(f"cannot read the query {query!r}") from error
-    if holds_for_none:
+    if holds_for_none(index, query, predicate, terms):
         found = documents_not_in(index, flags.filter(~F.expr(predicate)))
     else:
         found = flags.filter(F.expr(predicate)).select("doc_id")
@@ -107,8 +109,8 @@ def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:
     """``query_id, doc_id`` for a table of queries in disjunctive normal form.
 
     ``clauses(query_id, clause_id, term, negated)``: a document satisfies a query if for some clause it holds all
-    terms that are not negated and none that are. Clauses with a positive term start from its postings. Clauses with
-    negated terms only answer with nearly every document; each document lists the ones it does not violate.
+    terms that are not negated and none that are. Clauses with a positive term start from its postings. A query with
+    clauses of negated terms only is answered by all documents but those that violate every such clause.
     """
     keys = ["query_id", "clause_id"]
     terms = stage(prepare_clauses(clauses, **options).distinct(), "clauses")
@@ -126,30 +128,12 @@ def boolean_bulk(index: Index, clauses: DataFrame, **options) -> DataFrame:
     held = stage(held, "held")
     with_positive = held.filter((F.col("n_positive") > 0) & (F.col("held") == F.col("n_positive")))
     found = with_positive.filter("violated = 0").select("query_id", "doc_id")
-    negative = positives.filter("n_positive = 0").select(*keys)
-    rest = _all_negative(index, negative, held.filter("n_positive = 0"))
-    return (found if rest is None else found.union(rest)).distinct()
-
-
-def _all_negative(index: Index, negative: DataFrame, violated: DataFrame) -> DataFrame | None:
-    """``query_id, doc_id`` of clauses with negated terms only; None without such.
-
-    The clauses are dealt by hash into packs of bounded size, and each document meets each pack once, as a join on the
-    number of the pack.
-    """
-    n_negative = negative.count()
-    if not n_negative:
-        return None
-    n_packs = -(-n_negative // CLAUSES_PER_PACK)
-    clause = F.to_json(F.struct("query_id", "clause_id")).alias("clause")
-    pack = F.pmod(F.xxhash64("clause"), F.lit(n_packs)).alias("pack")
-    query_type = negative.schema["query_id"].dataType.simpleString()
-    listed = negative.select(clause).select("clause", pack).groupBy("pack").agg(F.collect_list("clause").alias("every"))
-    broken = violated.select("doc_id", clause).select("doc_id", "clause", pack)
-    broken = broken.groupBy("doc_id", "pack").agg(F.collect_set("clause").alias("broken"))
-    kept = F.array_except("every", F.coalesce("broken", F.array().cast("array<string>")))
-    answer = index.doc_stats.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1))).alias("pack"))
-    answer = answer.withColumn("pack", F.col("pack").cast("bigint")).join(listed, "pack").join(broken, ["doc_id", "pack"], "left")
-    answer = answer.select("doc_id", F.explode(kept).alias("clause"))
-    query_id = F.from_json("clause", f"query_id {query_type}").getField("query_id").alias("query_id")
-    return answer.select(query_id, "doc_id")
+    negative = positives.filter("n_positive = 0").groupBy("query_id").agg(F.count("*").alias("n_clauses"))
+    negative = stage(negative, "negative-queries")
+    if negative.isEmpty():
+        return found.distinct()
+    # What a query with all-negative clauses leaves out violates every one of them.
+    broken = held.filter("n_positive = 0").groupBy("query_id", "doc_id").agg(F.count("*").alias("n_broken"))
+    broken = broken.join(negative, "query_id").filter("n_broken = n_clauses").select("query_id", "doc_id")
+    every = pair_all(index.doc_stats.select("doc_id"), negative.select("query_id"), "doc_id")
+    return found.union(every.join(broken, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id")).distinct()

@@ -10,6 +10,8 @@ BROADCAST_CHARS = 64 * 1024 * 1024
 # At most this many keys can each hold more than 1/HOT_SHARE of all rows, which bounds the broadcast list of hot keys.
 HOT_SHARE = 10_000
 MIN_CELL_ROWS = 100_000
+# Pairs that one cell of a table may make when each of its rows is to meet all rows of a second one.
+PAIRS_PER_CELL = 4_000_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS) -> bool:
@@ -85,3 +87,16 @@ def join_small_or_hot(
     if small is None:
         small = fits_broadcast(right)
     return left.join(F.broadcast(right), key) if small else join_hot(left, right, key, left_id, right_id)
+
+
+def pair_all(rows: DataFrame, queries: DataFrame, row_id: str) -> DataFrame:
+    """Each row with each of a set of queries, for results that hold nearly all of them anyway.
+
+    The rows are dealt into cells by a hash of ``row_id``, the queries are repeated once per cell, and both meet on the
+    cell: no task makes many more than ``PAIRS_PER_CELL`` pairs, and the queries are broadcast only if small.
+    """
+    cells = max(1, -(-rows.count() * queries.count() // PAIRS_PER_CELL))
+    dealt = rows.withColumn("_cell", F.pmod(F.xxhash64(row_id), F.lit(cells)).cast("int"))
+    repeated = queries.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+    small = fits_broadcast(queries, rows=BROADCAST_ROWS // cells, chars=BROADCAST_CHARS // cells)
+    return dealt.join(F.broadcast(repeated) if small else repeated, "_cell").drop("_cell")
