@@ -12,6 +12,7 @@ from ..functions.text import explode_terms, is_term, raw_words, split_words, str
 from ..functions.urls import canonical_url
 from ..index import Index
 from ..operators.analysis import query_terms, text_terms
+from ..operators.bitmaps import Bitmaps, bitmap_bulk, bitmap_search, write_bitmaps
 from ..operators.boolean import all_of, any_of, boolean_bulk, boolean_search, none_of
 from ..operators.counts import (
     collection_counts,
@@ -25,7 +26,7 @@ from ..operators.crawl import crawl, known_links, reach
 from ..operators.links import followable_links, link_edges, page_links, resolved_links
 from ..operators.lookups import document_norms, missing_terms, term_documents, term_postings
 from ..operators.ranked import rank_all, score_sums, vector_bulk, vector_search
-from ..operators.stems import frequent_stems, stem_counts, stem_vocabulary
+from ..operators.stems import stem_counts, stem_vocabulary
 from ..session import new_path, stage
 from ..sources.documents import html_pages, new_documents, page_documents, read_text_folder
 from ..sources.index_store import add_documents, compact_loads, lay_out, open_index, result_lines
@@ -242,8 +243,7 @@ def query_stem_vocabulary(spark, folder):
 
 @query
 def stemmed_counts(spark, folder):
-    counts = stage(term_counts(documents(spark, folder)), "counts")
-    return stem_counts(counts, frequent_stems(counts))
+    return stem_counts(term_counts(documents(spark, folder)))
 
 
 @query
@@ -387,27 +387,67 @@ def bool_expr_paren(spark, folder):
     return boolean_search(stored_index(spark, folder), "not (tion or ther) and not retion")
 
 
-@query
-def bool_bulk(spark, folder):
-    """Per benchmark text: documents with all of its terms, or with its first term by alphabet but without its last."""
+def benchmark_clauses(spark: SparkSession, folder: str) -> DataFrame:
+    """Per benchmark text: all of its terms, or its first term by alphabet but not its last."""
     terms = stage(query_terms(benchmark_queries(spark, folder), ["query_id"]), "query-terms")
     every = terms.select("query_id", F.lit(1).alias("clause_id"), "term", F.lit(False).alias("negated"))
     ends = terms.groupBy("query_id").agg(F.min("term").alias("first"), F.max("term").alias("last"))
     mixed = ends.filter("first <> last").select(
         "query_id", F.lit(2).alias("clause_id"), F.explode(F.create_map("first", F.lit(False), "last", F.lit(True)))
     ).withColumnsRenamed({"key": "term", "value": "negated"})
-    return boolean_bulk(stored_index(spark, folder), every.union(mixed))
+    return every.union(mixed)
 
 
-@query
-def bool_dnf(spark, folder):
+def mixed_clauses(spark: SparkSession) -> DataFrame:
     """Clauses with positive and negated terms, with negated ones only, and with a term that no document holds."""
     rows = [
         (1, 1, "tion", False), (1, 1, "and", True), (1, 2, "ther", False), (1, 2, "retion", False),
         (2, 1, "and", True), (3, 1, "and", True), (3, 1, "tion", True), (3, 2, "nosuchterm", False),
     ]
-    clauses = spark.createDataFrame(rows, "query_id bigint, clause_id int, term string, negated boolean")
-    return boolean_bulk(stored_index(spark, folder), clauses)
+    return spark.createDataFrame(rows, "query_id bigint, clause_id int, term string, negated boolean")
+
+
+@query
+def bool_bulk(spark, folder):
+    return boolean_bulk(stored_index(spark, folder), benchmark_clauses(spark, folder))
+
+
+@query
+def bool_dnf(spark, folder):
+    return boolean_bulk(stored_index(spark, folder), mixed_clauses(spark))
+
+
+# The same on bitmaps
+
+
+def stored_bitmaps(spark: SparkSession, folder: str) -> Bitmaps:
+    make = lambda: write_bitmaps(stored_index(spark, folder), new_path(spark, "bitmaps"))
+    return _once(spark, folder, "bitmaps", make)
+
+
+@query
+def bitmap_expr(spark, folder):
+    return bitmap_search(stored_bitmaps(spark, folder), "tion and not ther or retion and ther")
+
+
+@query
+def bitmap_expr_paren(spark, folder):
+    return bitmap_search(stored_bitmaps(spark, folder), "not (tion or ther) and not retion")
+
+
+@query
+def bitmap_not_not(spark, folder):
+    return bitmap_search(stored_bitmaps(spark, folder), "not not Tion")
+
+
+@query
+def query_bitmap_bulk(spark, folder):
+    return bitmap_bulk(stored_bitmaps(spark, folder), benchmark_clauses(spark, folder))
+
+
+@query
+def bitmap_dnf(spark, folder):
+    return bitmap_bulk(stored_bitmaps(spark, folder), mixed_clauses(spark))
 
 
 # Ranked retrieval
@@ -551,20 +591,32 @@ def crawl_index(spark, folder):
 # Streaming
 
 
-@query
-def stream_index(spark, folder):
-    """Documents arrive as a stream; the index ends up as the batch one."""
-    path = new_path(spark, "index")
-    schema = documents(spark, folder).schema
-    source = new_path(spark, "arriving")
-    # Three files hold all documents; one more brings some of them again.
-    docs = documents(spark, folder).repartition(3, "doc_id")
+def _stream(spark: SparkSession, folder: str, files: int, **options) -> str:
+    """Index the documents as they arrive in so many files, one more bringing some of them again; path of the index."""
+    path, source = new_path(spark, "index"), new_path(spark, "arriving")
+    docs = documents(spark, folder).repartition(files, "doc_id")
     docs.write.parquet(source)
     docs.filter("doc_id % 10 = 0").coalesce(1).write.mode("append").parquet(source)
-    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    keep_current(arriving, path, new_path(spark, "stream")).awaitTermination()
-    compact_loads(spark, path, "all")
-    index = open_index(spark, path)
+    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    keep_current(arriving, path, new_path(spark, "stream"), **options).awaitTermination()
+    return path
+
+
+def _document_terms(index: Index) -> DataFrame:
     n_terms = index.postings.groupBy("doc_id").agg(F.count("*").alias("n_terms"))
     stats = index.doc_stats.join(n_terms, "doc_id", "left")
     return stats.select("doc_id", r6(F.col("l_d"), "l_d"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"))
+
+
+@query
+def stream_index(spark, folder):
+    """Documents arrive as a stream; the index ends up as the batch one, merged by hand."""
+    path = _stream(spark, folder, 3)
+    compact_loads(spark, path, "all")
+    return _document_terms(open_index(spark, path))
+
+
+@query
+def stream_levels(spark, folder):
+    """The same from more batches, whose loads are merged by size as they come."""
+    return _document_terms(open_index(spark, _stream(spark, folder, 6, fan=2)))

@@ -78,9 +78,9 @@ CLAUSES = [
 ANSWERS = {1: ["d2.txt", "d3.txt"], 2: ["d2.txt"], 4: ["d1.txt", "d2.txt", "d3.txt"], 5: ["d1.txt", "d2.txt", "d3.txt"]}
 
 
-@pytest.mark.parametrize("pack", [10_000, 1])
-def test_clause_tables(spark, english, monkeypatch, pack):
-    monkeypatch.setattr(boolean, "CLAUSES_PER_PACK", pack)
+@pytest.mark.parametrize("pairs", [4_000_000, 1])
+def test_clause_tables(spark, english, monkeypatch, pairs):
+    monkeypatch.setattr("termloom.operators.joins.PAIRS_PER_CELL", pairs)
     clauses = spark.createDataFrame(CLAUSES, "query_id int, clause_id int, term string, negated boolean")
     assert rows(boolean_bulk(english, clauses)) == sorted((q, d) for q, docs in ANSWERS.items() for d in docs)
 
