@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of well-known licences and notices, normalised as by `normalised` (lower case, letters,
-# digits and dots inside numbers only, single blanks), with the identifier each stands for.
+# Sentences of well-known licences and notices as the cutter below leaves them, so a clause up to a colon
+# or semicolon is one of its own; normalised as by `normalised` (lower case, letters, digits and dots inside numbers
+# only, single blanks), with the identifier each stands for.
 SENTENCES = (
     ("mit.name", "released under the mit license"),
     ("mit.name", "licensed under the mit license"),
@@ -38,7 +39,11 @@ SENTENCES = (
     ("apache2.name", "licensed under the apache license version 2.0 the license"),
     ("apache2.name", "released under the apache license version 2.0"),
     ("apache2.comply", "you may not use this file except in compliance with the license"),
-    ("apache2.obtain", "you may obtain a copy of the license at http www apache org licenses license 2.0"),
+    ("apache2.obtain", "you may obtain a copy of the license at"),
+    ("apache2.url", "http www apache org licenses license 2.0"),
+    ("apache2.url", "https www apache org licenses license 2.0"),
+    ("apache2.where", "you may obtain a copy of the license at http www apache org licenses license 2.0"),
+    ("apache2.where", "you may obtain a copy of the license at https www apache org licenses license 2.0"),
     ("apache2.basis",
      "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
      "on an as is basis without warranties or conditions of any kind either express or implied"),
@@ -49,20 +54,57 @@ SENTENCES = (
     ("gpl3.name", "this program is licensed under the gnu general public license version 3"),
     ("gpl2.name", "this work is licensed under the gnu general public license version 2"),
     ("gpl2.name", "licensed under the gnu general public license version 2"),
-    ("gpl3+.free",
-     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
-     "license as published by the free software foundation either version 3 of the license or at your option any later "
-     "version"),
-    ("gpl2+.free",
-     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
-     "license as published by the free software foundation either version 2 of the license or at your option any later "
-     "version"),
-    ("gpl.hope",
-     "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
-     "warranty of merchantability or fitness for a particular purpose"),
+    ("gpl.program", "this program is free software"),
+    ("gpl.library", "this library is free software"),
+    ("gpl.terms",
+     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation"),
+    ("gpl2.terms",
+     "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published "
+     "by the free software foundation"),
+    ("gpl3.terms",
+     "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published "
+     "by the free software foundation"),
+    ("lgpl.terms",
+     "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+     "the free software foundation"),
+    ("agpl.terms",
+     "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+     "the free software foundation"),
+    ("any.later.2", "either version 2 of the license or at your option any later version"),
+    ("any.later.2.1", "either version 2.1 of the license or at your option any later version"),
+    ("any.later.3", "either version 3 of the license or at your option any later version"),
+    ("gpl2+.terms",
+     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl3+.terms",
+     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl2.1+.terms",
+     "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+     "the free software foundation either version 2.1 of the license or at your option any later version"),
+    ("lgpl3+.terms",
+     "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+     "the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl3+.terms",
+     "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+     "the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl.hope", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl.hope", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl.implied", "without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gpl.see", "see the gnu general public license for more details"),
-    ("gpl.received",
-     "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl.see", "see the gnu lesser general public license for more details"),
+    ("gpl.see", "see the gnu affero general public license for more details"),
+    ("gpl.received", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl.received", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("gpl.received", "you should have received a copy of the gnu lesser general public license along with this program"),
+    ("gpl.received", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("gpl.if.not", "if not see http www gnu org licenses"),
+    ("gpl.if.not", "if not see https www gnu org licenses"),
+    ("gpl.if.not",
+     "if not write to the free software foundation inc 51 franklin street fifth floor boston ma 02110 1301 usa"),
+    ("gpl.if.not",
+     "if not write to the free software foundation inc 59 temple place suite 330 boston ma 02111 1307 usa"),
     ("lgpl3.name", "licensed under the gnu lesser general public license version 3"),
     ("agpl3.name", "licensed under the gnu affero general public license version 3"),
     ("bsd.redistribution",
@@ -83,10 +125,15 @@ SENTENCES = (
      "this source code form is subject to the terms of the mozilla public license v 2.0"),
     ("mpl2.copy",
      "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2.0"),
+    ("mpl2.copy",
+     "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2.0"),
     ("mpl2.name", "licensed under the mozilla public license version 2.0"),
     ("isc.grant",
      "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
      "granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc.as.is",
+     "the software is provided as is and the author disclaims all warranties with regard to this software including all "
+     "implied warranties of merchantability and fitness"),
     ("ccby4.name", "licensed under cc by 4.0"),
     ("ccby4.name", "this work is licensed under a creative commons attribution 4.0 international license"),
     ("ccbysa4.name", "licensed under cc by sa 4.0"),
@@ -96,26 +143,47 @@ SENTENCES = (
     ("cc0.name", "licensed under cc0 1.0"),
     ("cc0.name", "this work is dedicated to the public domain under cc0 1.0"),
     ("unlicense.free", "this is free and unencumbered software released into the public domain"),
+    ("unlicense.anyone",
+     "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+     "as a compiled binary for any purpose commercial or non commercial and by any means"),
     ("reserved", "all rights reserved"),
 )
 
+# How a notice of the GNU licences begins, and how it may go on after that, up to any of these.
+_GNU_HEADS = (
+    ("GPL-3.0-or-later", ("gpl.program", "gpl3+.terms")),
+    ("GPL-3.0-or-later", ("gpl.program", "gpl.terms", "any.later.3")),
+    ("GPL-2.0-or-later", ("gpl.program", "gpl2+.terms")),
+    ("GPL-2.0-or-later", ("gpl.program", "gpl.terms", "any.later.2")),
+    ("GPL-3.0-only", ("gpl.program", "gpl3.terms")),
+    ("GPL-2.0-only", ("gpl.program", "gpl2.terms")),
+    ("LGPL-3.0-or-later", ("gpl.library", "lgpl3+.terms")),
+    ("LGPL-3.0-or-later", ("gpl.program", "lgpl3+.terms")),
+    ("LGPL-3.0-or-later", ("gpl.library", "lgpl.terms", "any.later.3")),
+    ("LGPL-2.1-or-later", ("gpl.library", "lgpl2.1+.terms")),
+    ("LGPL-2.1-or-later", ("gpl.library", "lgpl.terms", "any.later.2.1")),
+    ("AGPL-3.0-or-later", ("gpl.program", "agpl3+.terms")),
+    ("AGPL-3.0-or-later", ("gpl.program", "agpl.terms", "any.later.3")),
+)
+_GNU_TAIL = ("gpl.hope", "gpl.implied", "gpl.see", "gpl.received", "gpl.if.not")
+
 # Rules in the order in which they are tried; longer sequences first.
 RULES = (
     ("MIT", ("mit.title", "mit.grant", "mit.notice", "mit.warranty", "mit.liability")),
     ("MIT", ("mit.grant", "mit.notice", "mit.warranty", "mit.liability")),
-    ("Apache-2.0", ("apache2.name", "apache2.comply", "apache2.obtain", "apache2.basis", "apache2.see")),
-    ("GPL-3.0-or-later", ("gpl3+.free", "gpl.hope", "gpl.see", "gpl.received")),
-    ("GPL-3.0-or-later", ("gpl3+.free", "gpl.hope", "gpl.see")),
-    ("GPL-2.0-or-later", ("gpl2+.free", "gpl.hope", "gpl.see", "gpl.received")),
-    ("GPL-2.0-or-later", ("gpl2+.free", "gpl.hope", "gpl.see")),
+    ("Apache-2.0", ("apache2.name", "apache2.comply", "apache2.obtain", "apache2.url", "apache2.basis", "apache2.see")),
+    ("Apache-2.0", ("apache2.name", "apache2.comply", "apache2.where", "apache2.basis", "apache2.see")),
+    *((name, head + _GNU_TAIL[:n]) for n in range(len(_GNU_TAIL), -1, -1) for name, head in _GNU_HEADS),
     ("BSD-3-Clause", ("bsd.redistribution", "bsd.source", "bsd.binary", "bsd.endorse")),
     ("BSD-2-Clause", ("bsd.redistribution", "bsd.source", "bsd.binary")),
     ("MPL-2.0", ("mpl2.form", "mpl2.copy")),
+    ("ISC", ("isc.grant", "isc.as.is")),
+    ("Unlicense", ("unlicense.free", "unlicense.anyone")),
     ("MIT", ("mit.name",)),
     ("MIT", ("mit.title",)),
     ("Apache-2.0", ("apache2.name",)),
-    ("GPL-3.0-or-later", ("gpl3+.free",)),
-    ("GPL-2.0-or-later", ("gpl2+.free",)),
+    ("GPL-3.0-or-later", ("gpl3+.terms",)),
+    ("GPL-2.0-or-later", ("gpl2+.terms",)),
     ("GPL-3.0-only", ("gpl3.name",)),
     ("GPL-2.0-only", ("gpl2.name",)),
     ("LGPL-3.0-only", ("lgpl3.name",)),
@@ -137,8 +205,14 @@ RULES = (
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CUT = "\u0001"
-# Replacements that put CUT where a sentence ends: after an end mark with white space behind it, and at empty lines.
-SENTENCE_CUTS = ((r"[.!?:;]+([ \t\r\n])", CUT + "$1"), (r"\n[ \t\r]*\n", CUT))
+# Replacements that put CUT where a sentence ends: after an end mark with white space behind it, but not in "v. 2.0" nor
+# where semicolons begin a line as comment signs, and at lines that are empty or hold comment signs only.
+SENTENCE_CUTS = (
+    (r"\n[ \t\r]*;+[ \t]", "\n "),
+    (r"\bv\.([ \t\r\n]+[0-9])", "v$1"),
+    (r"[.!?:;]+([ \t\r\n])", CUT + "$1"),
+    (r"\n[ \t\r#*/;%-]*\n", CUT),
+)
 # Replacements that normalise a lower-case sentence; dots between digits survive as underscores at first.
 NORMALISATION = (("_", " "), (r"([0-9])\.([0-9])", "$1_$2"), (r"([0-9])\.([0-9])", "$1_$2"), (r"[^a-z0-9_]+", " "))
 IGNORED = r"^([0-9]*|[a-z]|copyright .*)$"
