@@ -27,6 +27,13 @@ ELEMENT_BLOCK = 1 << 16
 GROUP_BYTES = 1 << 19
 # Rows per Arrow batch, which a worker holds whole.
 SKETCH_ROWS, PAIR_ROWS = 1000, 250
+# Members of a bucket that are paired as rows; larger buckets are cut into cells of so many members and bytes of
+# shingles, and two cells at a time are compared as a block inside a task.
+PAIRED_MEMBERS, CELL_MEMBERS, CELL_BYTES = 32, 512, 1 << 24
+# Shingles that a block is multiplied by at a time.
+COLUMNS = 2048
+# Edges that one task may turn into groups; more are contracted in rounds.
+EDGES_PER_TASK = 200_000
 
 SKETCHES = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>, bits array<bigint>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -232,32 +239,44 @@ def _contract_locally(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").mapInArrow(contract, "a bigint, b bigint").distinct()
 
 
+def _groups_in_one_task(edges: DataFrame) -> DataFrame:
+    """``doc_id, component_id`` of every node of a bounded number of edges."""
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = union_find((b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches)
+        columns = [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "component_id"])
+
+    return edges.select("a", "b").coalesce(1).mapInArrow(group, "doc_id bigint, component_id bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``doc_id, component_id``: for every node of the edges ``a, b`` the smallest node that it can reach.
 
-    Union-find inside each task first; then rounds that point every node to its smallest neighbour and join edges to
-    the nodes pointed at, until no edge is left. Each round writes its small tables, so a lost executor costs one
-    round, and the number of rounds grows with the logarithm of the longest chain.
+    Union-find inside each task first. While more than ``EDGES_PER_TASK`` edges are left, a round points every node to
+    its smallest neighbour and joins edges to the nodes pointed at, which leaves fewer nodes; the rest is one task's
+    union-find. Each round writes its small tables, so a lost executor costs one round.
     """
     edges = stage(_contract_locally(edges), "edges")
-    spark = edges.sparkSession
     found = None
-    while edges.limit(1).count():
+    while edges.count() > EDGES_PER_TASK:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
         parents = stage(least.select("a", F.least("a", "least").alias("p")), "parents")
-        if found is None:
-            found = parents.select(F.col("a").alias("doc_id"), F.col("p").alias("component_id"))
-        else:
-            moved = parents.select(F.col("a").alias("component_id"), "p")
-            found = found.join(moved, "component_id", "left").select(
-                "doc_id", F.coalesce("p", "component_id").alias("component_id")
-            )
-            found = stage(found, "components")
+        found = _moved(found, parents.withColumnsRenamed({"a": "component_id"}))
         left = edges.join(parents, "a").select(F.col("p").alias("l"), "b")
         right = left.join(parents.withColumnsRenamed({"a": "b", "p": "r"}), "b").filter("l <> r")
         edges = stage(right.select(F.col("l").alias("a"), F.col("r").alias("b")).distinct(), "edges")
-    return found if found is not None else spark.createDataFrame([], "doc_id bigint, component_id bigint")
+    last = _groups_in_one_task(edges)
+    return last if found is None else _moved(found, last.select(F.col("doc_id").alias("component_id"), F.col("component_id").alias("p")))
+
+
+def _moved(found: DataFrame | None, moved: DataFrame) -> DataFrame:
+    """Groups after ``moved(component_id, p)``: the nodes of a group follow its representative."""
+    if found is None:
+        return moved.select(F.col("component_id").alias("doc_id"), F.col("p").alias("component_id"))
+    followed = found.join(moved, "component_id", "left")
+    return stage(followed.select("doc_id", F.coalesce("p", "component_id").alias("component_id")), "components")
 
 
 def _buckets(classes: DataFrame, bands: int, groups: DataFrame | None) -> DataFrame:
@@ -281,13 +300,15 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     The first rounds compare every member of a bucket with one pivot, unless both are in one group by then: from
     buckets of many bands, which only very similar documents share, to buckets of one. Each bucket has a pivot of its
     own, chosen by hash, so that a member of a large group of near copies meets many of them and the group falls
-    together. The last round takes all pairs of a bucket
-    that are still in different groups and whose packed signatures leave a similarity of 75 % possible (at that
-    similarity the chance to miss is about one in a million), however many they are.
+    together. The last round takes all pairs of a bucket that are still in different groups and whose packed signatures
+    leave a similarity of 75 % possible (at that similarity the chance to miss is about one in a million), however many
+    they are: as rows in small buckets, inside tasks in large ones. The rounds end when no bucket spans two groups.
     """
     tested = links = groups = None
     for number, bands in enumerate([*BANDS_PER_BUCKET, BANDS_PER_BUCKET[-1]]):
         members = _buckets(classes, bands, groups)
+        if members.isEmpty():
+            continue
         if number < len(BANDS_PER_BUCKET):
             order = F.xxhash64("doc_id", "bucket").alias("order")
             first = F.min(F.struct(order, "doc_id", "component_id")).alias("pivot")
@@ -298,30 +319,149 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             )
             pairs = _possible(pairs.distinct(), classes)
         else:
-            # Every member takes its signature along, so that impossible pairs end inside the join.
             signed = members.join(classes.select("doc_id", "n_shingles", "bits"), "doc_id")
             signed = stage(signed, "signed")
-            other = signed.withColumnsRenamed(
-                {"doc_id": "b", "component_id": "other_id", "n_shingles": "n_b", "bits": "bits_b"}
-            )
-            possible = (
-                (F.col("doc_id") > F.col("b"))
-                & (F.col("component_id") != F.col("other_id"))
-                & _sizes_fit(F.col("n_shingles"), F.col("n_b"))
-                & (different_slots("bits", "bits_b") <= MAX_DIFFERENT_SLOTS)
-            )
-            left = signed.withColumnRenamed("bucket", "own_bucket")
-            pairs = left.join(other, (F.col("own_bucket") == F.col("bucket")) & possible)
-            pairs = pairs.select(F.col("doc_id").alias("a"), "b").distinct()
+            sizes = signed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+            large = stage(sizes.filter(F.col("n") > PAIRED_MEMBERS), "large-buckets")
+            if not large.isEmpty():
+                links = _union(links, _block_links(signed, large, docs))
+            pairs = _paired(signed.join(large, "bucket", "left_anti"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        new = verify(pairs, docs)
-        links = new if links is None else links.union(new)
-        tested = pairs if tested is None else tested.union(pairs)
+        links = _union(links, verify(pairs, docs))
+        tested = _union(tested, pairs)
         if number < len(BANDS_PER_BUCKET):
             groups = stage(components(links), "groups")
-    return links
+    return links if links is not None else classes.sparkSession.createDataFrame([], "a bigint, b bigint")
+
+
+def _union(one: DataFrame | None, other: DataFrame) -> DataFrame:
+    return other if one is None else one.union(other)
+
+
+def _paired(signed: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of members of one bucket in different groups that may be similar enough.
+
+    Every member takes its signature along, so that impossible pairs end inside the join.
+    """
+    other = signed.withColumnsRenamed({"doc_id": "b", "component_id": "other_id", "n_shingles": "n_b", "bits": "bits_b"})
+    possible = (
+        (F.col("doc_id") > F.col("b"))
+        & (F.col("component_id") != F.col("other_id"))
+        & _sizes_fit(F.col("n_shingles"), F.col("n_b"))
+        & (different_slots("bits", "bits_b") <= MAX_DIFFERENT_SLOTS)
+    )
+    left = signed.withColumnRenamed("bucket", "own_bucket")
+    pairs = left.join(other, (F.col("own_bucket") == F.col("bucket")) & possible)
+    return pairs.select(F.col("doc_id").alias("a"), "b").distinct()
+
+
+def _block_links(signed: DataFrame, large: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between the groups of the members of large buckets; what joins the same groups again is left out.
+
+    Members of one family of similar texts share many large buckets, so each is compared in its largest bucket first
+    of all, and in the others only where members of several largest buckets meet. A bucket is cut into cells, and any
+    two of its cells make a block that one task compares as a whole, so there is a row per member and block, never
+    one per pair. The full shingle sets go along, so links are confirmed on the spot.
+    """
+    rows = signed.join(large, "bucket")
+    size = F.struct("n", "bucket")
+    main = rows.groupBy("doc_id").agg(F.max(size)["bucket"].alias("main"))
+    rows = stage(rows.join(main, "doc_id"), "large-members")
+    several = rows.groupBy("bucket").agg(F.min("main").alias("low"), F.max("main").alias("high")).filter("low < high")
+    needed = rows.join(several.select("bucket", F.lit(True).alias("several")), "bucket", "left")
+    needed = needed.filter((F.col("main") == F.col("bucket")) | F.col("several"))
+    cells = F.greatest(F.ceil(F.col("n") / CELL_MEMBERS), F.ceil(F.col("total") * 8 / CELL_BYTES)).cast("int")
+    needed = needed.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")).cast("int"))
+    needed = needed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    block = F.struct("bucket", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
+    needed = needed.select(block.alias("block"), "cell", "doc_id", "component_id", "n_shingles", "bits")
+    wanted = stage(main.select("doc_id"), "large-ids")
+    with batch_rows(docs.sparkSession, SKETCH_ROWS):
+        sets = stage(_stored_sets(docs, wanted), "sets")
+    with batch_rows(docs.sparkSession, PAIR_ROWS):
+        return stage(needed.join(sets, "doc_id").groupBy("block").applyInArrow(_compare_block, "a bigint, b bigint"), "block-links")
+
+
+def _stored_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, shingles``: the shingle hashes of the wanted documents, a row for each text of rows that share an id."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in text_groups(batch.column(1), GROUP_BYTES):
+                hashes, bounds = shingle_sets(texts)
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), lists], ["doc_id", "shingles"])
+                done += len(texts)
+
+    return texts.mapInArrow(cut, "doc_id bigint, shingles array<bigint>").distinct()
+
+
+def _compare_block(block: pa.Table) -> pa.Table:
+    """Links between the groups of a block ``block, cell, doc_id, component_id, n_shingles, bits, shingles``."""
+    ids, groups, sizes, cells = (block.column(c).to_numpy() for c in ("doc_id", "component_id", "n_shingles", "cell"))
+    bits = block.column("bits").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+    possible = _possible_in_block(groups, sizes, bits)
+    if len(set(cells.tolist())) > 1:
+        # What is in one cell meets in the block of that cell.
+        possible &= cells[:, None] != cells
+    some = np.flatnonzero(possible.any(axis=0) | possible.any(axis=1))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    edges = []
+    if len(some):
+        sets = block.column("shingles").combine_chunks().take(pa.array(some))
+        lengths = sets.value_lengths().to_numpy().astype(np.int64)
+        common = common_counts(sets.flatten().to_numpy(), np.repeat(np.arange(len(some)), lengths), len(some))
+        union = lengths[:, None] + lengths - common
+        linked = possible[np.ix_(some, some)] & (100 * common >= SIMILARITY_PERCENT * union)
+        for one, other in zip(*(some[k].tolist() for k in np.nonzero(linked))):
+            x, y = root(int(groups[one])), root(int(groups[other]))
+            if x != y:
+                parent[x] = y
+                edges.append((ids[one], ids[other]))
+    found = np.sort(np.array(edges, np.int64).reshape(-1, 2), axis=1)
+    return pa.table({"a": found[:, 1], "b": found[:, 0]})
+
+
+def _possible_in_block(groups: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which pairs, the first before the second, are of different groups and may be similar enough."""
+    low = np.uint64(int("1" * (64 // SLOT_BITS), 16))
+    different = np.zeros((len(groups), len(groups)), np.int16)
+    for word in bits.T:
+        x = word[:, None] ^ word
+        any_bit = x
+        for shift in range(1, SLOT_BITS):
+            any_bit = any_bit | (x >> np.uint64(shift))
+        different += np.bitwise_count(any_bit & low).astype(np.int16)
+    fits = 100 * np.minimum(sizes[:, None], sizes) >= SIMILARITY_PERCENT * np.maximum(sizes[:, None], sizes)
+    return np.triu((groups[:, None] != groups) & fits & (different <= MAX_DIFFERENT_SLOTS), 1)
+
+
+def common_counts(shingles: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many shingles any two of ``n`` sets share, some columns of their membership matrix at a time."""
+    values, number = np.unique(shingles, return_inverse=True)
+    shared = np.bincount(number, minlength=len(values)) > 1
+    column = np.cumsum(shared) - 1
+    kept = shared[number]
+    column, owner = column[number[kept]], owner[kept]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    total = np.zeros((n, n), np.float32)
+    for start in range(0, int(shared.sum()), COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[owner[low:high], column[low:high] - start] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
 
 
 def _sizes_fit(a: F.Column, b: F.Column) -> F.Column:
@@ -343,7 +483,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents with equal sets are one class, known by its smallest id; only classes are banded and compared. Empty and
     null texts are linked with nothing. Rows with a null id have a null ``component_id``, are linked with nothing and
-    kept. Rows that share an id count as one document and stand or fall together. An empty table gives no rows.
+    kept. Rows that share an id count as one document and stand or fall together. An empty table gives no rows. Texts of
+    any length are cut into shingles whole, a long one by itself. Other columns are left alone whatever their names.
     """
     with batch_rows(docs.sparkSession, SKETCH_ROWS):
         found = stage(sketches(docs), "sketches")
