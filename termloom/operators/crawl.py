@@ -2,31 +2,123 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cache, reduce
+from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import DEFAULT_MAX_DEPTH
 from ..functions.urls import canonical_url
-from ..session import stage
+from ..session import new_path, stage
 from ..sources.documents import first_per_document, html_pages, page_documents
-from .joins import fits_broadcast, join_hot
+from .joins import BROADCAST_CHARS, BROADCAST_ROWS, join_hot
 from .links import link_edges
 from .numbering import number_rows
 
 
-SEEN_LEVELS = 8
+# In a graph with at least so many links, a frontier of more than one node in so many links is met from the side of the
+# nodes not seen yet. Below, laying the links out for it costs more than it saves.
+BOTTOM_UP_EDGES, BOTTOM_UP_SHARE = 1_000_000, 20
 
 
-def _followed(frontier: DataFrame, edges: DataFrame, hot: Callable[[], DataFrame]) -> DataFrame:
-    """Distinct targets of the frontier's links; the frontier is broadcast only while its checked size allows."""
-    if fits_broadcast(frontier):
-        reached = edges.join(F.broadcast(frontier), edges["src"] == frontier["node"], "left_semi")
+@dataclass(frozen=True)
+class _Size:
+    """Rows of a frame, and length of its strings."""
+
+    rows: int
+    chars: int
+
+    @property
+    def fits_broadcast(self) -> bool:
+        return self.rows <= BROADCAST_ROWS and self.chars <= BROADCAST_CHARS
+
+
+class _Seen:
+    """Nodes met so far: one table, partitioned by level and bucketed by node.
+
+    A level is one partition, so the frontier is read alone; all levels share the buckets, so that whatever is joined
+    with the seen nodes comes to them and they are never shuffled, however many there are. There are as many buckets as
+    shuffle partitions, which is how rows that were made distinct lie already.
+    """
+
+    KNOWN = -1
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._path = spark, new_path(spark, "seen")
+        self._name = "seen_" + self._path.rsplit("-", 1)[1]
+        self._buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._type = "string"
+
+    def add(self, nodes: DataFrame, depth: int) -> _Size:
+        """Write a level, return its size."""
+        self._type = nodes.schema["node"].dataType.simpleString()
+        rows = nodes.select("node", F.lit(depth).cast("bigint").alias("depth"))
+        writer = rows.write.mode("append").partitionBy("depth").bucketBy(self._buckets, "node").sortBy("node")
+        writer.option("path", self._path).saveAsTable(self._name)
+        chars = F.coalesce(F.sum(F.length("node").cast("bigint")), F.lit(0)) if self._type == "string" else F.lit(0)
+        return _Size(*self.level(depth).agg(F.count("*"), chars).first())
+
+    def level(self, depth: int) -> DataFrame:
+        return self._spark.table(self._name).filter(F.col("depth") == depth).select("node")
+
+    def nodes(self) -> DataFrame:
+        return self._spark.table(self._name).select("node")
+
+    def close(self) -> DataFrame:
+        """``node, depth`` of all levels, from the files; the catalog forgets the table."""
+        self._spark.sql(f"DROP TABLE {self._name}")
+        rows = self._spark.read.schema(f"node {self._type}, depth bigint").parquet(self._path)
+        return rows.filter(F.col("depth") > self.KNOWN)
+
+
+class _Graph:
+    """Links in the two layouts that a traversal reads."""
+
+    def __init__(self, edges: DataFrame):
+        self.edges = edges
+        self.n_edges = edges.count()
+
+    @cached_property
+    def by_target(self) -> DataFrame:
+        """Links bucketed like the seen nodes by where they lead."""
+        spark = self.edges.sparkSession
+        path, buckets = new_path(spark, "links"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = "links_" + path.rsplit("-", 1)[1]
+        rows = self.edges.select("src", "dst").repartition(buckets, "dst")
+        rows.write.bucketBy(buckets, "dst").sortBy("dst").option("path", path).saveAsTable(name)
+        self._table = name
+        return spark.table(name)
+
+    @cached_property
+    def links_per_source(self) -> DataFrame:
+        return stage(self.edges.groupBy("src").agg(F.count("*").alias("_rows")), "link-counts")
+
+    def close(self) -> None:
+        if "by_target" in self.__dict__:
+            self.edges.sparkSession.sql(f"DROP TABLE {self._table}")
+
+
+def next_level(graph: _Graph, frontier: DataFrame, size: _Size, seen: _Seen) -> DataFrame:
+    """``node``: distinct targets of the frontier's links that are not seen yet.
+
+    From a small frontier the links are followed, and what they lead to is brought to the seen nodes. When the frontier
+    is a large share of the graph, or too large to be broadcast, the links that lead to nodes not seen yet are looked
+    up first, which lie in the same buckets as the seen nodes, and only those meet the frontier; late in a traversal
+    few are left.
+    """
+    few = graph.n_edges < BOTTOM_UP_EDGES or size.rows * BOTTOM_UP_SHARE <= graph.n_edges
+    if size.fits_broadcast and few:
+        links = graph.edges
+        reached = links.join(F.broadcast(frontier), links["src"] == frontier["node"], "left_semi")
+        return reached.select(F.col("dst").alias("node")).distinct().join(seen.nodes(), "node", "left_anti")
+    links, met = graph.by_target, seen.nodes()
+    links = links.join(met, links["dst"] == met["node"], "left_anti")
+    sources = frontier.select(F.col("node").alias("src"))
+    if size.fits_broadcast:
+        reached = links.join(F.broadcast(sources), "src", "left_semi")
     else:
-        sources = frontier.withColumnRenamed("node", "src")
-        reached = join_hot(edges, sources, "src", ["dst"], left_counts=hot())
+        reached = join_hot(links, sources, "src", ["dst"], left_counts=graph.links_per_source)
     return reached.select(F.col("dst").alias("node")).distinct()
 
 
@@ -41,51 +133,43 @@ def reach(
 
     Depth 0 are the seeds; links found on the last level (``max_depth``, negative for no limit) are listed but not
     attempted. ``max_pages`` limits attempts over all levels, in order of depth and node. Nodes in ``known(node)``
-    are never queued. Each level is one join, written to the shared folder, so a lost executor costs one level; what
-    was seen is merged every few levels, so that a level costs as much late as early.
+    are never queued. Each level is written to the shared folder, so a lost executor costs one level; what was seen
+    stays where it is, so that a level costs as much late as early.
     """
+    spark = edges.sparkSession
+    seen, graph = _Seen(spark), _Graph(edges)
     seeds = seeds.select("node").distinct()
     if known is not None:
-        seeds = seeds.join(known.select("node"), "node", "left_anti")
-    frontier = stage(seeds, "level")
-    n_frontier = frontier.count()
-    seen = [frontier] if known is None else [frontier, stage(known.select("node"), "known")]
-    hot = cache(lambda: stage(edges.groupBy("src").agg(F.count("*").alias("_rows")), "link-counts"))
-    levels, budget, depth = [], max_pages, 0
-    while n_frontier > 0:
-        row = frontier.select("node", F.lit(depth).cast("bigint").alias("depth"))
-        if budget is not None and n_frontier > budget:
-            attempted = frontier.limit(0)
+        seen.add(known.select("node").distinct(), _Seen.KNOWN)
+        seeds = seeds.join(seen.nodes(), "node", "left_anti")
+    depth, size, budget = 0, seen.add(seeds, 0), max_pages
+    n_full, cut = 0, None
+    while size.rows > 0:
+        frontier = seen.level(depth)
+        if budget is not None and size.rows > budget:
+            cut = frontier.limit(0)
             if budget:
                 numbered = number_rows(frontier, [], [F.col("node")], "_number")
-                attempted = stage(numbered.filter(F.col("_number") <= budget).select("node"), "attempted")
-            left_over = row.join(attempted, "node", "left_anti")
-            levels.append(row.join(attempted, "node", "left_semi").withColumn("attempted", F.lit(True)))
-            levels.append(left_over.withColumn("attempted", F.lit(False)))
-            n_attempted = budget
+                cut = stage(numbered.filter(F.col("_number") <= budget).select("node"), "attempted")
+            frontier, size = cut, _Size(budget, size.chars)
         else:
-            attempted, n_attempted = frontier, n_frontier
-            levels.append(row.withColumn("attempted", F.lit(True)))
-        if budget is not None:
-            budget -= n_attempted
-        if n_attempted == 0:
+            n_full = depth + 1
+        if size.rows == 0:
             break
-        found = _followed(attempted, edges, hot)
-        found = found.join(reduce(DataFrame.union, seen), "node", "left_anti")
-        frontier = stage(found, "level")
-        n_frontier = frontier.count()
-        seen.append(frontier)
-        if len(seen) > SEEN_LEVELS:
-            seen = [stage(reduce(DataFrame.union, seen), "seen")]
-        if depth == max_depth or (budget is not None and budget == 0):
-            pending = frontier.select("node", F.lit(depth + 1).cast("bigint").alias("depth"))
-            levels.append(pending.withColumn("attempted", F.lit(False)))
+        if budget is not None:
+            budget -= size.rows
+        size = seen.add(next_level(graph, frontier, size, seen), depth + 1)
+        if depth == max_depth or budget == 0:
             break
         depth += 1
-    if not levels:
-        empty = frontier.select("node", F.lit(0).cast("bigint").alias("depth"))
-        levels = [empty.withColumn("attempted", F.lit(True))]
-    return reduce(DataFrame.union, levels)
+    graph.close()
+    rows = seen.close()
+    done = rows.filter(F.col("depth") < n_full).withColumn("attempted", F.lit(True))
+    rest = rows.filter(F.col("depth") >= n_full)
+    if cut is None:
+        return done.union(rest.withColumn("attempted", F.lit(False)))
+    cut = cut.withColumn("attempted", F.lit(True))
+    return done.union(rest.join(cut, "node", "left").withColumn("attempted", F.coalesce("attempted", F.lit(False))))
 
 
 def with_status(reached: DataFrame, pages: DataFrame) -> DataFrame:

@@ -101,17 +101,17 @@ def test_a_long_chain_costs_the_same_per_level(spark, monkeypatch):
     sizes = []
     from termloom.operators import crawl as module
 
-    def watched(frame, name):
-        if name == "level":
-            sizes.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
-        return stage(frame, name)
+    def watched(*args):
+        frame = follow(*args)
+        sizes.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+        return frame
 
-    stage = module.stage
-    monkeypatch.setattr(module, "stage", watched)
+    follow = module.next_level
+    monkeypatch.setattr(module, "next_level", watched)
     chain = spark.range(62).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
-    found = reach(stage(chain, "chain"), spark.createDataFrame([(0,)], "node bigint")).collect()
+    found = reach(module.stage(chain, "chain"), spark.createDataFrame([(0,)], "node bigint")).collect()
     assert {r["node"]: r["depth"] for r in found} == {k: k for k in range(63)}
-    assert len(sizes) == 64 and max(sizes) <= module.SEEN_LEVELS + 2
+    assert len(sizes) == 63 and max(sizes) <= 3
 
 
 def test_one_page_per_link(spark, tmp_path):
