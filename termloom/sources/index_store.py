@@ -17,6 +17,13 @@ from .documents import decoded, first_per_document, new_documents
 
 # Rows of postings that one bucket of a layout should hold.
 BUCKET_ROWS = 2_000_000
+# Parquet writes a Bloom filter of the terms of each row group, of a size that fits them: a lookup passes over row groups
+# that lie around a term without holding it, which are most of them when an index has many loads.
+TERM_FILTER = {
+    "parquet.bloom.filter.enabled#term": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.candidates.number#term": "8",
+}
 
 
 MANIFEST = (
@@ -86,7 +93,7 @@ def write_load(spark: SparkSession, index: Index, path: str, load: str, replaces
     """
     folder = f"{path}/loads/{uuid.uuid4().hex}"
     postings = index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-    postings.write.parquet(f"{folder}/postings")
+    postings.write.options(**TERM_FILTER).parquet(f"{folder}/postings")
     index.doc_stats.write.parquet(f"{folder}/doc_stats")
     n_docs = spark.read.schema(index.doc_stats.schema).parquet(f"{folder}/doc_stats").count()
     _append(spark, path, [(load, folder, time.time_ns(), replaces or [], n_docs, None, None)])
@@ -250,6 +257,7 @@ def lay_out(index: Index, name: str, path: str, buckets: int | None = None) -> I
     ):
         (
             frame.write.mode("overwrite")
+            .options(**(TERM_FILTER if table == "postings" else {}))
             .bucketBy(buckets, "doc_id")
             .sortBy(*order)
             .option("path", f"{path}/{table}")

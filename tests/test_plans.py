@@ -75,3 +75,22 @@ def test_bulk_boolean_reads_postings_and_clauses_once(spark, tmp_path, monkeypat
     assert len(re.findall(r"FileScan parquet \[term#\d+,doc_id#\d+L?\]", whole)) == 1
     assert len(re.findall(r"FileScan parquet \[query_id[^\]]*clause_id[^\]]*term[^\]]*negated", staged[0])) == 1
     assert sorted(map(tuple, found.collect()))[:2] == [(2, 1), (2, 3)]
+
+
+def rows_read(frame):
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_rare_term_reads_few_row_groups_of_many_loads(spark, tmp_path):
+    """Every load has terms before and after the wanted one, so only the filter of terms tells."""
+    path = str(tmp_path / "ix")
+    for load in range(6):
+        rows = [(load * 1000 + i, f"a{load}x{i} storm{load}x{i} z{load}x{i}") for i in range(300)]
+        add_documents(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), path, str(load))
+    index = open_index(spark, path)
+    found = index.postings.filter("term = 'storm3x77'").select("doc_id")
+    assert [r["doc_id"] for r in found.collect()] == [3077]
+    assert 0 < rows_read(found) <= 900 and index.postings.count() == 6 * 900
+    assert rows_read(index.postings.filter("term = 'storm9x9'").select("doc_id")) == 0
