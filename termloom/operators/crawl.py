@@ -172,6 +172,27 @@ def reach(
     return done.union(rest.join(cut, "node", "left").withColumn("attempted", F.coalesce("attempted", F.lit(False))))
 
 
+def reach_recursive(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
+    """``node, depth`` of what ``reach`` attempts within a few levels, as one recursive statement without a driver loop.
+
+    Recursion follows paths: a node is met once per path to it and made distinct at the end only, so this is for small
+    depths. Spark ends a statement whose recursion makes more rows than ``spark.sql.cteRecursionRowLimit``.
+    """
+    if max_depth < 0:
+        raise ValueError("recursion needs a depth")
+    return edges.sparkSession.sql(
+        """
+        WITH RECURSIVE walk(node, depth) AS (
+          SELECT DISTINCT node, 0L FROM {seeds}
+          UNION ALL
+          SELECT e.dst, walk.depth + 1 FROM walk JOIN {edges} AS e ON e.src = walk.node WHERE walk.depth < {max_depth}
+        )
+        SELECT node, min(depth) AS depth FROM walk GROUP BY node
+        """,
+        seeds=seeds.select("node"), edges=edges.select("src", "dst"), max_depth=max_depth,
+    )
+
+
 def with_status(reached: DataFrame, pages: DataFrame) -> DataFrame:
     """``url, depth, status``: pending if not attempted, visited if an HTML page is there, bad if not."""
     there = html_pages(pages).select(canonical_url(F.col("url")).alias("node")).distinct().withColumn("there", F.lit(True))

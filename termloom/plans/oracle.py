@@ -303,6 +303,7 @@ SELECT CAST(1 AS BIGINT) AS query_id, doc_id FROM one UNION ALL SELECT CAST(2 AS
     "link_edges": f"WITH {LP_EDGES} SELECT src, dst FROM edges",
     "page_edges": f"WITH {edges('pages')} SELECT src, dst FROM edges",
     "crawl_reach": f"WITH RECURSIVE {LP_EDGES},\n{walk('w', FIRST, NO_LIMIT)} SELECT node, depth FROM w",
+    "crawl_reach_recursive": f"WITH RECURSIVE {LP_EDGES},\n{walk('w', FIRST, 3)} SELECT node, depth FROM w",
     "crawl_status": f"{CRAWL4} SELECT url, depth, status FROM state",
     "crawl_all_pages": f"""WITH RECURSIVE {edges('pages')},\n{walk('w', f'SELECT {CUT_URL} AS node FROM pages', 2)} {status('w', 'depth > 1')}""",
     "crawl_budget": f"""WITH RECURSIVE {LP_EDGES},\n{walk('w', FIRST, NO_LIMIT)},

@@ -22,7 +22,7 @@ from ..operators.counts import (
     posting_lists,
     term_counts,
 )
-from ..operators.crawl import crawl, known_links, reach
+from ..operators.crawl import crawl, known_links, reach, reach_recursive
 from ..operators.links import followable_links, link_edges, page_links, resolved_links
 from ..operators.lookups import document_norms, missing_terms, term_documents, term_postings
 from ..operators.ranked import rank_all, score_sums, vector_bulk, vector_search
@@ -549,6 +549,14 @@ def crawl_reach(spark, folder):
     return reach(edges, seeds).select("node", "depth")
 
 
+@query
+def crawl_reach_recursive(spark, folder):
+    """Three levels from the first page as one recursive statement."""
+    edges = stage(link_edges(linked_pages(spark, folder)), "edges")
+    seeds = first_page(spark, folder).select(canonical_url(F.col("url")).alias("node"))
+    return reach_recursive(edges, seeds, 3)
+
+
 @query
 def crawl_status(spark, folder):
     return crawl_state(spark, folder).select("url", "depth", "status")

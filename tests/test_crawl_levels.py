@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.operators import crawl as module
-from termloom.operators.crawl import _Graph, _Seen, _Size, next_level, reach
+from termloom.operators.crawl import _Graph, _Seen, _Size, next_level, reach, reach_recursive
 from termloom.session import stage
 
 
@@ -91,3 +91,13 @@ def test_the_seen_nodes_are_never_shuffled(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(("seen_", "links_"))]
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3])
+def test_one_recursive_statement(spark, depth):
+    pairs, edges = graph(spark)
+    seeds = spark.createDataFrame([(1,), (7,), (7,)], "node bigint")
+    found = {r["node"]: r["depth"] for r in reach_recursive(edges, seeds, depth).collect()}
+    assert found == {n: d for n, d in depths(pairs, [1, 7]).items() if d <= depth}
+    with pytest.raises(ValueError):
+        reach_recursive(edges, seeds, -1)
