@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from termloom.llm import top_k as module
@@ -52,7 +53,13 @@ def test_small_chunks_blocks_and_tiles(spark, monkeypatch):
     monkeypatch.setattr(module, "CHUNK_VECTORS", 50)
     monkeypatch.setattr(module, "BLOCK_QUERIES", 7)
     monkeypatch.setattr(module, "TILE_SCORES", 60)
-    check(spark, vectors(400, 6), k=5)
+    # Workers get the module as it is here, sizes included.
+    cloudpickle.register_pickle_by_value(module)
+    try:
+        check(spark, vectors(400, 6), k=5)
+        check(spark, [(i, [0.5, -0.25] if i % 3 else [0.25, 0.25]) for i in range(300)], parts=3)
+    finally:
+        cloudpickle.unregister_pickle_by_value(module)
 
 
 def test_ties_and_very_common_vectors(spark):
