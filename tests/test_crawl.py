@@ -30,7 +30,7 @@ def test_reach_by_depth(spark):
 
 
 def test_budget_and_frontier_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr("termloom.operators.crawl.fits_broadcast", lambda frame: False)
+    monkeypatch.setattr("termloom.operators.crawl.BROADCAST_ROWS", -1)
     monkeypatch.setattr("termloom.operators.joins.MIN_CELL_ROWS", 1)
     seeds = spark.createDataFrame([(0,)], "node bigint")
     found = reach(graph(spark), seeds, max_pages=10).collect()
