@@ -1,4 +1,8 @@
-"""Main text of web pages: rules for parts that are never content, and removal of what a host repeats on its pages."""
+"""Main text of web pages: rules for parts that are never content, and removal of what a host repeats on its pages.
+
+Every element of a page is hashed with all it holds. Subtrees that recur on many different pages of a host are its
+templates; they are deleted before the content is looked for.
+"""
 
 from __future__ import annotations
 
@@ -40,6 +44,7 @@ MARKERS = frozenset(
     "social related recommended comment comments commentlist discussion disqus reply replies respond pagination pager "
     "skip toolbar".split()
 )
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense sponsored".split())
 CLOSED_BY = {
     "p": BLOCKS - {"br", "body", "html", "option"},
     "li": frozenset(["li"]),
@@ -52,6 +57,11 @@ CLOSED_BY = {
     "head": frozenset(["body"]),
 }
 CONTAINERS = frozenset("div section ul ol dl table figure details center fieldset span a".split())
+# What can be a template inside a text: boxes, and lists and tables that are menus (all of their text in links).
+BOXES = frozenset("div section figure details center fieldset".split())
+LISTS = frozenset("ul ol dl table".split())
+# What identifies a subtree besides tag and content.
+TELLING = ("class", "href", "role")
 SCOPES = frozenset("ul ol dl table td th article section main div body html aside nav header footer form".split())
 
 _TOKEN = re.compile(
@@ -68,15 +78,22 @@ _SPACE = re.compile(r"[\s\xa0]+")
 class Node:
     """An element: its children are elements and strings; ``kept`` is false for parts that are never content.
 
-    ``digest`` is set once it is hashed; only a ``candidate`` can be taken for a template.
+    The rest is set once it is hashed: its digest, the characters of its text, those of them in links, and whether it
+    is a ``candidate``, which alone can be taken for a template.
     """
 
     tag: str
     kept: bool = True
+    attributes: str = ""
     children: list = field(default_factory=list)
     digest: int = 0
+    n_text: int = 0
+    n_linked: int = 0
     candidate: bool = False
 
+    def is_in(self, templates: frozenset[int]) -> bool:
+        return self.candidate and self.digest in templates
+
 
 def _attributes(source: str) -> Iterator[tuple[str, str]]:
     """Names and values of a tag in lower case, without what stands inside the values."""
@@ -113,8 +130,8 @@ def _plain_article(tag: str, attributes: str) -> bool:
 def _marked(tag: str, attributes: str, in_text: bool) -> bool:
     """Whether an element is hidden or marked as a part around the content.
 
-    In the text of an article a marker is a whole class or id of a container. Elsewhere it may be part of a class, or of
-    the id of a container.
+    In the text of an article a marker is a whole class or id of a container, or of anything if it names an advert.
+    Elsewhere it may be part of a class, or of the id of a container.
     """
     for name, value in _attributes(attributes):
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -126,6 +143,8 @@ def _marked(tag: str, attributes: str, in_text: bool) -> bool:
             whole = in_text or (name == "id" and tag not in CONTAINERS)
             if MARKERS.intersection(value.split() if whole else _WORD.findall(value)):
                 return True
+        elif name in ("class", "id") and ADVERTS.intersection(value.split()):
+            return True
     return False
 
 
@@ -201,7 +220,7 @@ def parse_page(source: str) -> Node:
         if tag in BLOCKS and tag not in ("br", "li", "option"):
             stack.close_paragraph()
         inside = stack.count("article") > 0
-        node = Node(tag, _is_content(tag, attributes, inside, inside or stack.count("main") > 0))
+        node = Node(tag, _is_content(tag, attributes, inside, inside or stack.count("main") > 0), attributes)
         stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
@@ -211,21 +230,21 @@ def parse_page(source: str) -> Node:
             stack.push(node)
 
 
-def content_root(root: Node) -> list[Node]:
-    """Where the content is: the outermost articles, else the main element, else the whole page."""
+def content_root(root: Node, templates: frozenset[int] = frozenset()) -> list[Node]:
+    """Where the content is: the outermost articles, else the main element, else the whole page; no templates."""
     for tag in ("article", "main"):
         found: list[Node] = []
-        _collect(root, tag, found)
+        _collect(root, tag, templates, found)
         if found:
             return found
     return [root]
 
 
-def _collect(node: Node, tag: str, found: list[Node]) -> None:
+def _collect(node: Node, tag: str, templates: frozenset[int], found: list[Node]) -> None:
     todo = [node]
     while todo:
         node = todo.pop()
-        if not node.kept:
+        if not node.kept or node.is_in(templates):
             continue
         if node.tag == tag:
             found.append(node)
@@ -233,37 +252,67 @@ def _collect(node: Node, tag: str, found: list[Node]) -> None:
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
-def _ordered(root: Node) -> Iterator[Node]:
-    """Every kept element, children before parents."""
-    order, todo = [], [root]
+def _ordered(page: Node) -> list[tuple[Node, Node | None, bool]]:
+    """Every kept element, children before parents, with its parent and whether it is within an article or main element."""
+    order: list[tuple[Node, Node | None, bool]] = []
+    todo: list[tuple[Node, Node | None, bool]] = [(page, None, False)]
     while todo:
-        node = todo.pop()
+        node, parent, in_text = todo.pop()
         if node.kept:
-            order.append(node)
-            todo += [c for c in node.children if isinstance(c, Node)]
-    return reversed(order)
+            order.append((node, parent, in_text))
+            within = in_text or node.tag in ("article", "main")
+            todo += [(c, node, within) for c in node.children if isinstance(c, Node)]
+    return order[::-1]
+
+
+def _identity(node: Node) -> str:
+    if not node.attributes:
+        return node.tag
+    found = sorted((name, value) for name, value in _attributes(node.attributes) if name in TELLING and value)
+    return " ".join([node.tag, *(f"{name}={value}" for name, value in found)])
 
 
-def hash_subtrees(roots: list[Node]) -> list[int]:
-    """Set the digest of every kept element (tag and content, white space made even) and return those of candidates.
+def _can_be_template(node: Node, in_text: bool) -> bool:
+    """Blocks with text, but in an article or main element only boxes and menus.
 
-    Inside an article or main element only containers are candidates: a paragraph, heading or list item that many
-    articles share is still content. On a page without either, any element is one.
+    A paragraph, heading, list or table that many articles share is still content, and so is everything inline.
     """
-    digests = []
-    for root in roots:
-        for node in _ordered(root):
-            parts = [node.tag]
-            for child in node.children:
-                if isinstance(child, str):
-                    parts.append(_SPACE.sub(" ", child).strip())
-                elif child.kept:
-                    parts.append(str(child.digest))
-            node.digest = xxhash.xxh64_intdigest("\x1f".join(p for p in parts if p)) - (1 << 63)
-            if node is not root and len(parts) > 1 and (root.tag == "#page" or node.tag in CONTAINERS):
-                node.candidate = True
-                digests.append(node.digest)
-    return digests
+    if not node.n_text:
+        return False
+    if not in_text:
+        return node.tag in BLOCKS and node.tag not in ("html", "body", "main")
+    return node.tag in BOXES or (node.tag in LISTS and node.n_linked == node.n_text)
+
+
+def hash_subtrees(page: Node) -> list[int]:
+    """Hash every kept element of a page (tag, class, role, target and content, white space made even).
+
+    Returns the digests of those that can be templates. The longest article (or main element) of the page and what it
+    lies in never are.
+    """
+    order = _ordered(page)
+    for node, _, in_text in order:
+        parts = [_identity(node)]
+        for child in node.children:
+            if isinstance(child, str):
+                text = _SPACE.sub(" ", child).strip()
+                if text:
+                    parts.append(text)
+                    node.n_text += len(text)
+            elif child.kept:
+                parts.append(str(child.digest))
+                node.n_text += child.n_text
+                node.n_linked += child.n_linked
+        if node.tag == "a":
+            node.n_linked = node.n_text
+        node.digest = xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
+        node.candidate = _can_be_template(node, in_text)
+    spared = {id(max(content_root(page), key=lambda root: root.n_text))}
+    for node, parent, _ in order:
+        if id(node) in spared:
+            node.candidate = False
+            spared.add(id(parent))
+    return [node.digest for node, _, _ in order if node.candidate]
 
 
 def main_text(roots: list[Node], templates: frozenset[int] = frozenset()) -> str:
@@ -285,7 +334,7 @@ def main_text(roots: list[Node], templates: frozenset[int] = frozenset()) -> str
                 close()
             elif isinstance(item, str):
                 run.append(item)
-            elif item.kept and not (item.candidate and item.digest in templates):
+            elif item.kept and not item.is_in(templates):
                 if item.tag in BLOCKS or item is root:
                     close()
                     todo.append(None)
@@ -307,7 +356,7 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """``host, digest, n_pages``: on how many different pages of its host each subtree of the content occurs.
+    """``host, digest, n_pages``: on how many different pages of its host each subtree occurs.
 
     Pages with equal content count once, so that copies of one article don't make a template of it. ``digest`` is null
     in the row that counts all pages of a host.
@@ -317,9 +366,9 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, digests, contents = [], [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                roots = content_root(parse_page(source))
-                found = set(hash_subtrees(roots))
-                content = xxhash.xxh64_intdigest(main_text(roots)) - (1 << 63)
+                page = parse_page(source)
+                found = set(hash_subtrees(page))
+                content = xxhash.xxh64_intdigest(main_text(content_root(page))) - (1 << 63)
                 hosts += [host] * (len(found) + 1)
                 digests += [None, *found]
                 contents += [content] * (len(found) + 1)
@@ -345,7 +394,8 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html, ...)``.
 
     Null and empty pages have an empty text. Null ids and URLs are kept (all pages without a host count as one host),
-    repeated rows are treated one by one, an empty table gives no rows.
+    repeated rows are treated one by one but count as one page of their host, an empty table gives no rows. Pages may
+    have any length and depth; a task holds one page as a tree. Other columns are ignored, whatever their names.
     """
     templates = stage(host_templates(pages, min_pages, min_share), "templates")
     lists = templates.select("host", F.array_join(F.col("templates").cast("array<string>"), ",").alias("templates"))
@@ -360,10 +410,10 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
                 joined = joined or ""
                 if joined not in known:
                     known[joined] = frozenset(map(int, joined.split(",")))
-                roots = content_root(parse_page(source))
-                if joined:
-                    hash_subtrees(roots)
-                texts.append(main_text(roots, known[joined]))
+                page, templates = parse_page(source), known[joined]
+                if templates:
+                    hash_subtrees(page)
+                texts.append(main_text(content_root(page, templates), templates))
             columns = [batch.column(0), batch.column(1), pa.array(texts), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
