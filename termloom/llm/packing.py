@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .tokens import encode_column
 
 CAPACITY = 2048
@@ -23,6 +24,8 @@ MAX_PIECE = 512
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
+# Windows of the pieces that tasks leave over are numbered from here.
+LEFT_OVER = 1 << 62
 Partial = list[tuple[int, list[int]]]
 
 
@@ -90,8 +93,25 @@ def pieces_of(length: int, capacity: int, max_piece: int) -> list[tuple[int, int
     return cut
 
 
+def packed_rows(pieces: list[tuple], capacity: int, first_sequence: int) -> list[tuple]:
+    """Pieces ``(doc_id, start, length, ...)`` in windows numbered from ``first_sequence``, with their offset there."""
+    rows = []
+    for sequence, items in enumerate(pack_items([p[2] for p in pieces], capacity), first_sequence):
+        offset = 0
+        for i in items:
+            rows.append((*pieces[i], sequence, offset))
+            offset += pieces[i][2]
+    return rows
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [part.split()[0] for part in SCHEMA.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+
 class _Packer:
-    """Gathers pieces of documents and packs them group by group."""
+    """Gathers pieces of documents and packs them in whole groups; what never fills one is left over."""
 
     def __init__(self, capacity: int, group_windows: int, max_piece: int, first_sequence: int):
         self.capacity, self.max_piece = capacity, max_piece
@@ -112,22 +132,33 @@ class _Packer:
                 self.waiting.append(piece)
                 self.tokens += length
         if self.tokens >= self.group_tokens:
-            self.pack()
-
-    def pack(self) -> None:
-        for items in pack_items([p[2] for p in self.waiting], self.capacity):
-            offset = 0
-            for i in items:
-                self.rows.append((*self.waiting[i], self.next_sequence, offset))
-                offset += self.waiting[i][2]
-            self.next_sequence += 1
-        self.waiting, self.tokens = [], 0
+            packed = packed_rows(self.waiting, self.capacity, self.next_sequence)
+            self.rows += packed
+            self.next_sequence = packed[-1][-2] + 1
+            self.waiting, self.tokens = [], 0
 
     def take(self) -> pa.RecordBatch:
-        names = [part.split()[0] for part in SCHEMA.split(", ")]
-        columns = list(zip(*self.rows)) or [()] * len(names)
-        self.rows = []
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+        rows, self.rows = self.rows, []
+        return _batch(rows)
+
+    def left_over(self) -> pa.RecordBatch:
+        """The pieces of no window; a null offset marks them, their number stands for a window's."""
+        return _batch([(*p, self.next_sequence + k, None) for k, p in enumerate(self.waiting)])
+
+
+def pack_left_over(pieces: DataFrame, capacity: int, group_windows: int) -> DataFrame:
+    """Windows for the pieces that tasks left over, dealt by their number into groups of about ``group_windows``."""
+    tokens = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    groups = max(1, round(tokens / (capacity * group_windows)))
+
+    def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        group = group.sort_by("sequence_id").select(names)
+        rows = list(zip(*(c.to_pylist() for c in group.columns)))
+        return pa.Table.from_batches([_batch(packed_rows(rows, capacity, LEFT_OVER + (key[0].as_py() << 36)))])
+
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
+    return dealt.groupBy("_group").applyInArrow(pack, SCHEMA)
 
 
 def pack_documents(
@@ -142,10 +173,14 @@ def pack_documents(
     """One row per piece of ``docs(doc_id, text, ...)`` in its window (``sequence_id``, ``offset``).
 
     Each task encodes its texts, cuts whole windows off long documents, and packs what is left in groups of about
-    ``group_windows`` windows; nothing is shuffled and a task holds one group. A document with less than ``max_piece``
-    tokens left is not cut again. Null and empty texts give one piece with the end id alone. Repeated rows and null
-    ids are packed row by row. ``sequence_id`` is the number of the task times 2**36 plus a counter, so that a task
-    that runs again gives the same ids.
+    ``group_windows`` windows, of which it holds one at a time. The pieces that are too few for a group at its end go
+    through a second pass, in which those of all tasks are dealt into such groups: so padding depends on the number of
+    tokens, not of tasks, and only these pieces are shuffled. The first pass is written to the shared folder.
+
+    A document with less than ``max_piece`` tokens left is not cut again. Null and empty texts give one piece with the
+    end id alone; texts may have any length, a task holds the ids of one. Repeated rows and null ids are packed row by
+    row, an empty table gives no rows, other columns are ignored, whatever their names. ``sequence_id`` is the number
+    of the task (or group of the second pass, from 2**62) times 2**36 plus a counter.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +191,9 @@ def pack_documents(
                 for k, ids in enumerate(found):
                     packer.add(doc_ids[first + k], np.append(ids, np.uint32(end_id)))
                 yield packer.take()
-        packer.pack()
-        yield packer.take()
+        yield packer.left_over()
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(pack, SCHEMA)
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    pieces = stage(texts.mapInArrow(pack, SCHEMA), "pieces")
+    left_over = pack_left_over(pieces.filter(F.col("offset").isNull()), capacity, group_windows)
+    return pieces.filter(F.col("offset").isNotNull()).unionAll(left_over)

@@ -155,6 +155,24 @@ def test_packing(docs, no_docs, texts, encode):
     assert pack_documents(no_docs, tokenizer_file).count() == 0
 
 
+def test_padding_does_not_depend_on_tasks(spark):
+    rows = [(k, " ".join(f"w{(k * 31 + i * i) % 997}" for i in range(20 + k * 7 % 300))) for k in range(1000)]
+    rows += [(2000, "one word")] * 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = None
+    for tasks in (1, 4, 200):
+        packed = pack_documents(docs.repartition(tasks), tokenizer_file).collect()
+        ends = {}
+        for r in packed:
+            ends[r["sequence_id"]] = max(ends.get(r["sequence_id"], 0), r["offset"] + r["length"])
+        tokens = sum(r["length"] for r in packed)
+        assert max(ends.values()) <= 2048 and sum(ends.values()) == tokens
+        assert len(ends) * 2048 <= 1.02 * tokens + 2048
+        pieces = sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in packed)
+        assert whole in (None, pieces)
+        whole = pieces
+
+
 PAGES = [
     (1, "http://a/1", "<p>same"), (2, "http://a/2", "<p>same"), (9, "http://a/9", "<p>same"), (3, None, None), (4, "u", ""),
     (5, "http://a/\n5", "<p>größer &amp; 日本"), (6, "x", "z" * 200000), (None, "n", "<p>same"), (None, None, "lone"),
