@@ -1,11 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Words are compared in lower case, without punctuation at either end, so that re-punctuated copies still align. Each
-benchmark item is cut into stretches of its n-grams, and in each stretch the n-grams that the corpus holds least often
-are its seeds. An n-gram in a document gives a passage as long as the item allows; passages of one document and item
-that overlap are one. Those with a seed are aligned, those that only other n-grams point at as well unless they share
-too few words with the item to count under any alignment: edited copies may hold none of the seeds. The passage and the
-item are aligned word by word, gaps and replaced words cost, and the matched share of the item decides.
+benchmark item is cut into stretches of its n-grams. The n-grams that are rare in the corpus are seeds, and in each
+stretch at least those that it holds least often; the others never lead anywhere. A seed in a document gives a passage as long as the item allows; passages of
+one document and item that overlap are one. Passages with too few words of the item to count under any alignment are
+passed over, the others are aligned with the item word by word: gaps and replaced words cost, and the matched share of
+the item decides.
 """
 
 from __future__ import annotations
@@ -25,12 +25,17 @@ from .words import IS_SPACE, Texts, Words, _ranges, range_hashes, sequence_hash,
 SEED_WORDS = 3
 STRETCH = 6
 SEEDS_PER_STRETCH = 3
+# An n-gram is rare in up to this share of the documents, and in up to this number of them.
+RARE_SHARE = 0.01
+RARE_DOCS = 16
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5
 LONG_PASSAGE_WORDS = 30
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 8_000_000
 PAIR_CELLS = 1 << 22
+# Hits that a task looks at in one go.
+HITS = 1 << 19
 
 PAIRS = "doc_id bigint, item_id bigint, score double, matched_words int, item_words int, first_word bigint, n_words int"
 _EDGE = np.zeros(256, bool)
@@ -84,7 +89,7 @@ class Items:
 
 
 def grams_of(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each run of ``SEED_WORDS`` words and its first word; a shorter text is one run of what it has."""
+    """Hash of each run of ``SEED_WORDS`` words inside a text and its first word; a shorter text has none."""
     n = len(words) - SEED_WORDS + 1
     first = np.flatnonzero(text[:n] == text[SEED_WORDS - 1 :]) if n > 0 else np.zeros(0, np.int64)
     hashes = sequence_hash([words[first + k] for k in range(SEED_WORDS)])
@@ -109,14 +114,18 @@ class Lookup:
         return place[hit], at[hit]
 
 
-def gram_frequencies(docs: DataFrame, grams: np.ndarray) -> dict[int, int]:
-    """In how many rows of ``docs(text)`` each n-gram of the items occurs; one row per n-gram reaches the driver."""
+def gram_frequencies(docs: DataFrame, grams: np.ndarray) -> tuple[dict[int, int], int]:
+    """In how many rows of ``docs(text)`` each n-gram of the items occurs, and the number of rows.
+
+    One row per n-gram reaches the driver.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(grams))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(shared.value)
-        total = np.zeros(len(lookup.known), np.int64)
+        total, n_rows = np.zeros(len(lookup.known), np.int64), 0
         for batch in batches:
+            n_rows += batch.num_rows
             for texts in folded_groups(batch.column(0)):
                 words = bare_words(texts)
                 hashes, first = grams_of(words.hash, words.text)
@@ -124,26 +133,32 @@ def gram_frequencies(docs: DataFrame, grams: np.ndarray) -> dict[int, int]:
                 pairs = np.unique(words.text[first[place]] * len(total) + number)
                 total += np.bincount(pairs % max(len(total), 1), minlength=len(total))
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(lookup.known[used].view(np.int64)), pa.array(total[used])], ["gram", "n"])
+        # The row without an n-gram counts all rows.
+        found = [*lookup.known[used].view(np.int64).tolist(), None], [*total[used].tolist(), n_rows]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["gram", "n"])
 
     counts = docs.select(F.col("text").cast("string")).mapInArrow(count, "gram bigint, n bigint")
     rows = counts.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    return dict(zip(rows.column("gram").to_numpy().view(np.uint64).tolist(), rows.column("n").to_pylist()))
+    found = dict(zip(rows.column("gram").to_pylist(), rows.column("n").to_pylist()))
+    n_rows = found.pop(None, 0)
+    return {gram % (1 << 64): n for gram, n in found.items()}, n_rows
 
 
-def choose_seeds(items: Items, frequency: dict[int, int]) -> np.ndarray:
-    """Numbers of the n-grams of the items that are seeds: the rarest of each stretch, earlier ones first on a tie.
+def choose_seeds(items: Items, frequency: dict[int, int], rare: float = 0) -> np.ndarray:
+    """Numbers of the n-grams of the items that are seeds: of each stretch those up to a bound on their frequency.
 
-    N-grams that no document holds can't point at anything and are left out.
+    The bound is ``rare``, or the frequency of the ``SEEDS_PER_STRETCH``-th rarest n-gram of the stretch if that is
+    more (of those that reach it just then, the first count). N-grams that no document holds can't point at anything
+    and are left out.
     """
     n = np.array([frequency.get(g, 0) for g in items.grams.tolist()], np.int64)
-    stretch = items.gram_place // STRETCH
-    order = np.lexsort((items.gram_place, n, stretch, items.gram_item))
-    order = order[n[order] > 0]
-    key = items.gram_item[order].astype(np.int64) << 32 | stretch[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    rank = np.arange(len(key)) - np.repeat(first, np.diff(np.r_[first, len(key)]))
-    return np.sort(order[rank < SEEDS_PER_STRETCH])
+    held = np.flatnonzero(n)
+    stretch = items.gram_item[held].astype(np.int64) << 32 | items.gram_place[held] // STRETCH
+    order = np.lexsort((items.gram_place[held], n[held], stretch))
+    held, stretch = held[order], stretch[order]
+    first = np.flatnonzero(np.r_[True, stretch[1:] != stretch[:-1]]) if len(held) else np.zeros(0, np.int64)
+    rank = np.arange(len(held)) - np.repeat(first, np.diff(np.r_[first, len(held)]))
+    return np.sort(held[(rank < SEEDS_PER_STRETCH) | (n[held] <= rare)])
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -181,70 +196,142 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return score, rest // unit, width - rest % unit, best_end
 
 
-def aligned_pairs(
-    words: Words, n_texts: int, items: Items, lookup: Lookup, gram_of: tuple[np.ndarray, ...], min_share: float
-) -> Iterator[tuple]:
-    """Align each passage that can count; yields text, item, score, matched words, and where.
+@dataclass
+class Seeds:
+    """The seeds of a block of items by ascending hash, and for each hash the items and places that have it."""
+
+    grams: np.ndarray
+    bounds: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+
+    @staticmethod
+    def of(items: Items, chosen: np.ndarray) -> Seeds:
+        chosen = chosen[np.argsort(items.grams[chosen], kind="stable")]
+        grams, counts = np.unique(items.grams[chosen], return_counts=True)
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        return Seeds(grams, bounds, items.gram_item[chosen], items.gram_place[chosen])
+
+
+def _each(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + count - 1`` of each pair, end to end."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+class _Places:
+    """Where each word of a run of texts stands, for asking whether a passage holds it."""
+
+    def __init__(self, words: np.ndarray):
+        self.known, self.rank = np.unique(words, return_inverse=True)
+        self.at = np.sort(self.rank.astype(np.int64) << 32 | np.arange(len(words)))
+
+    def rank_of(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash among the different words, -1 for those that no text holds."""
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, at, -1)
 
-    ``gram_of``: for each known hash the bounds of its n-grams, and of each n-gram item, place, and whether it is a seed.
+    def stands_in(self, rank: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether the word of each rank stands in ``low .. high - 1``."""
+        at = np.searchsorted(self.at, rank << 32 | low)
+        return self.at[np.minimum(at, len(self.at) - 1)] - (rank << 32 | low) < high - low if len(at) else at > 0
+
+
+def needed_words(length: np.ndarray, min_share: float) -> np.ndarray:
+    """With fewer words of an item of a given length than this, no alignment with it counts."""
+    return np.minimum(np.ceil(min_share * length - 1e-9).astype(np.int64), LONG_PASSAGE_WORDS)
+
+
+def passages(words: Words, items: Items, seeds: Seeds, lookup: Lookup, min_share: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """Where seeds point and enough words of the item stand: arrays of text, item, first word and end of each passage.
+
+    The hits are taken item by item, about ``HITS`` at a time, so memory doesn't grow with hits in common.
     """
-    bounds, gram_item, gram_place, is_seed = gram_of
     hashes, first = grams_of(words.hash, words.text)
-    place, number = lookup.find(hashes)
-    if not len(place):
+    at, number = lookup.find(hashes)
+    if not len(at):
         return
-    counts = bounds[number + 1] - bounds[number]
-    which = np.repeat(bounds[number] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
-    word = np.repeat(first[place], counts)
-    item = gram_item[which]
-    text = words.text[word]
-    length = np.diff(items.bounds)[item]
+    order = np.argsort(number, kind="stable")
+    found, occurs, n_occurs = np.unique(number[order], return_index=True, return_counts=True)
+    word_of_hit = first[at[order]]
+    # The seeds of items that are in these texts, and how often each occurs; then items in turn.
+    per_gram = seeds.bounds[found + 1] - seeds.bounds[found]
+    entry = _each(seeds.bounds[found], per_gram)
+    gram = np.repeat(np.arange(len(found)), per_gram)
+    by_item = np.argsort(seeds.item[entry], kind="stable")
+    entry, gram = entry[by_item], gram[by_item]
+
+    # Words of the items that these texts hold at all; items with too few of them can't count.
+    places = _Places(words.hash)
+    lengths = np.diff(items.bounds)
+    hit_items, of_item = np.unique(seeds.item[entry], return_inverse=True)
+    which = _each(items.bounds[hit_items], lengths[hit_items])
+    rank = places.rank_of(items.words[which])
+    owner = np.repeat(np.arange(len(hit_items)), lengths[hit_items])[rank >= 0]
+    rank = rank[rank >= 0]
+    n_held = np.bincount(owner, minlength=len(hit_items))
+    rank_start = np.cumsum(n_held) - n_held
+    needed = needed_words(lengths[hit_items], min_share)
+    fits = (n_held >= needed)[of_item]
+    entry, gram, of_item = entry[fits], gram[fits], of_item[fits]
+
     text_start = np.cumsum(words.per_text) - words.per_text
-    # The item laid over the document, with a third of it (and four words) to spare on either side for insertions.
-    spare = length // 3 + 4
-    low = np.maximum(word - gram_place[which] - spare, text_start[text])
-    high = np.minimum(word - gram_place[which] + length + spare, text_start[text] + words.per_text[text])
-    order = np.lexsort((low, item, text))
-    low, high, item, text, seeded = low[order], high[order], item[order], text[order], is_seed[which][order]
-    # All n-grams of an intact copy give the same passage.
-    again = (low[1:] == low[:-1]) & (high[1:] == high[:-1]) & (item[1:] == item[:-1]) & (text[1:] == text[:-1])
-    once = np.flatnonzero(np.r_[True, ~again])
-    seeded = np.logical_or.reduceat(seeded, once)
-    low, high, item, text = low[once], high[once], item[once], text[once]
-    # Passages that overlap become one, up to twice the longest; where many follow each other, they are aligned in turn.
-    passages: list[tuple[int, int, int, int, bool]] = []
-    for lo, hi, it, tx, seed in zip(low.tolist(), high.tolist(), item.tolist(), text.tolist(), seeded.tolist()):
-        if passages:
-            a, b, p_item, p_text, p_seed = passages[-1]
-            if (p_text, p_item) == (tx, it) and lo <= b:
-                if hi <= b or hi - a <= 2 * (hi - lo):
-                    passages[-1] = (a, max(b, hi), it, tx, p_seed or seed)
-                    continue
-        passages.append((lo, hi, it, tx, seed))
-    passages = [p for p in passages if p[4] or _can_count(items, p[2], words.hash[p[0] : p[1]], min_share)]
-    if not passages:
-        return
-    sizes = np.array([(len_of(items, it), hi - lo) for lo, hi, it, *_ in passages])
-    for some in _batches(np.argsort(sizes[:, 0] * sizes[:, 1], kind="stable"), sizes):
-        n_item, n_passage = sizes[some].max(axis=0)
-        left, right = np.zeros((len(some), n_item), np.uint64), np.zeros((len(some), n_passage), np.uint64)
-        for row, p in enumerate(some.tolist()):
-            lo, hi, it, *_ = passages[p]
-            left[row, : len_of(items, it)] = items.words[items.bounds[it] : items.bounds[it + 1]]
-            right[row, : hi - lo] = words.hash[lo:hi]
-        score, matched, begin, end = align(left, right)
-        for row, p in enumerate(some.tolist()):
-            lo, _, it, tx, _ = passages[p]
-            yield tx, it, int(score[row]), int(matched[row]), lo + int(begin[row]) - int(text_start[tx]), int(
-                end[row] - begin[row] + 1
-            )
-
-
-def _can_count(items: Items, item: int, passage: np.ndarray, min_share: float) -> bool:
-    """Whether the words of the item that the passage holds would be enough if all of them were matched."""
-    held = set(passage.tolist())
-    shared = sum(w in held for w in items.words[items.bounds[item] : items.bounds[item + 1]].tolist())
-    return _counts(MATCH * shared, MATCH * len_of(items, item), min_share)
+    text_end = text_start + words.per_text
+    turns = np.flatnonzero(np.r_[True, of_item[1:] != of_item[:-1], True]) if len(entry) else np.zeros(1, np.int64)
+    hits_before = np.concatenate([[0], np.cumsum(n_occurs[gram])])[turns]
+    start = 0
+    while start < len(turns) - 1:
+        end = max(start + 1, int(np.searchsorted(hits_before, hits_before[start] + HITS, "right")) - 1)
+        some = slice(turns[start], turns[end])
+        start = end
+        count = n_occurs[gram[some]]
+        word = word_of_hit[_each(occurs[gram[some]], count)]
+        place, mine = np.repeat(seeds.place[entry[some]], count), np.repeat(of_item[some], count)
+        length, text = lengths[hit_items[mine]], words.text[word]
+        # The item laid over the document, with a third of it (and four words) to spare on either side for insertions.
+        spare = length // 3 + 4
+        low = np.maximum(word - place - spare, text_start[text])
+        high = np.minimum(word - place + length + spare, text_end[text])
+        order = np.lexsort((low, text, mine))
+        low, high, text, mine, span = (x[order] for x in (low, high, text, mine, length + 2 * spare))
+        # Passages that overlap become one; a long run of them is cut where it has the length of a passage.
+        apart = np.r_[True, (mine[1:] != mine[:-1]) | (text[1:] != text[:-1]) | (low[1:] > high[:-1])]
+        runs = np.flatnonzero(apart)
+        part = (low - np.repeat(low[runs], np.diff(np.r_[runs, len(low)]))) // span
+        begin = np.flatnonzero(apart | np.r_[True, part[1:] != part[:-1]])
+        low, high, text, mine = low[begin], np.maximum.reduceat(high, begin), text[begin], mine[begin]
+        # Of those, the ones that hold enough words of the item.
+        for few in _slices(n_held[mine], HITS):
+            n = n_held[mine[few]]
+            stands = places.stands_in(rank[_each(rank_start[mine[few]], n)], np.repeat(low[few], n), np.repeat(high[few], n))
+            enough = np.bincount(np.repeat(np.arange(len(n)), n), stands, len(n)) >= needed[mine[few]]
+            if enough.any():
+                yield text[few][enough], hit_items[mine[few]][enough], low[few][enough], high[few][enough]
+
+
+def _slices(sizes: np.ndarray, limit: int) -> Iterator[slice]:
+    """Ranges of a list whose sizes add up to about ``limit``, or of one alone."""
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    start = 0
+    while start < len(sizes):
+        end = max(start + 1, int(np.searchsorted(before, before[start] + limit, "right")) - 1)
+        yield slice(start, end)
+        start = end
+
+
+def aligned_pairs(words: Words, items: Items, seeds: Seeds, lookup: Lookup, min_share: float) -> Iterator[tuple]:
+    """Align each passage that can count; yields text, item, score, matched words, and where."""
+    text_start = np.cumsum(words.per_text) - words.per_text
+    lengths = np.diff(items.bounds)
+    for text, item, low, high in passages(words, items, seeds, lookup, min_share):
+        sizes = np.stack([lengths[item], high - low], axis=1)
+        for some in _batches(np.argsort(sizes[:, 0] * sizes[:, 1], kind="stable"), sizes):
+            n, width = sizes[some, 0], sizes[some, 1]
+            left, right = (np.zeros((len(some), size.max()), np.uint64) for size in (n, width))
+            left[np.arange(left.shape[1]) < n[:, None]] = items.words[_each(items.bounds[item[some]], n)]
+            right[np.arange(right.shape[1]) < width[:, None]] = words.hash[_each(low[some], width)]
+            score, matched, begin, end = align(left, right)
+            first = low[some] + begin - text_start[text[some]]
+            yield from zip(*(x.tolist() for x in (text[some], item[some], score, matched, first, end - begin + 1)))
 
 
 def _counts(score: int, full: int, min_share: float) -> bool:
@@ -275,8 +362,10 @@ def contaminated(docs: DataFrame, items: DataFrame, min_share: float = MIN_SHARE
     ``docs(doc_id, text, ...)``, ``items(item_id, text, ...)``; ``score`` is the alignment score as a share of that of
     a full copy. A pair counts from ``min_share`` on, or when the alignment is worth ``LONG_PASSAGE_WORDS`` matches.
     Documents without a match have no row. The items are the query set: they are taken in blocks of bounded size, each
-    block against all documents in two passes (frequencies, passages), so nothing of the corpus is shuffled. Null and
-    empty texts match nothing, items of fewer words than a seed neither. Items with a null id are left out as they
+    block against all documents in two passes (frequencies, passages), so nothing of the corpus is shuffled. A copy is
+    found if one of its item's seeds is left in it; one that keeps no three words in a row has none. Null and empty
+    texts match nothing, items of fewer words than a seed neither. Texts may have any length, a task holds one at a
+    time; other columns are ignored, whatever their names. Items with a null id are left out as they
     can't be named; documents with a null id are reported with it. Rows that share an id give one row per item, the
     best. Empty tables give no rows.
     """
@@ -304,28 +393,20 @@ def _item_blocks(items: DataFrame) -> Iterator[Items]:
 
 
 def _block_pairs(docs: DataFrame, items: Items, min_share: float) -> DataFrame:
-    frequency = gram_frequencies(docs, items.grams)
-    is_seed = np.zeros(len(items.grams), bool)
-    is_seed[choose_seeds(items, frequency)] = True
-    used = np.flatnonzero(np.isin(items.grams, np.array(list(frequency), np.uint64)))
-    used = used[np.argsort(items.grams[used], kind="stable")]
-    known, counts = np.unique(items.grams[used], return_counts=True)
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (items, known, (bounds, items.gram_item[used], items.gram_place[used], is_seed[used]))
-    )
+    frequency, n_docs = gram_frequencies(docs, items.grams)
+    chosen = choose_seeds(items, frequency, max(RARE_DOCS, RARE_SHARE * n_docs))
+    shared = docs.sparkSession.sparkContext.broadcast((items, Seeds.of(items, chosen)))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, known, gram_of = shared.value
-        lookup = Lookup(known)
+        items, seeds = shared.value
+        lookup = Lookup(seeds.grams)
         names = [part.split()[0] for part in PAIRS.split(", ")]
         types = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
         for batch in batches:
             rows = []
             for texts in folded_groups(batch.column(1)):
                 words = bare_words(texts)
-                found = aligned_pairs(words, len(texts), items, lookup, gram_of, min_share)
-                for text, item, score, matched, first, n in found:
+                for text, item, score, matched, first, n in aligned_pairs(words, items, seeds, lookup, min_share):
                     full = MATCH * len_of(items, item)
                     if _counts(score, full, min_share):
                         doc_id = batch.column(0)[texts.first + text].as_py()

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from conftest_llm import shingles, words
 
+from termloom.llm import decontaminate as dc
 from termloom.llm import near_dup as nd
 from termloom.llm import suffix_tree as st
 from termloom.llm.decontaminate import GAP, MATCH, MISMATCH, Items, align, bare_words, choose_seeds, contaminated, folded_groups
@@ -210,10 +211,93 @@ def test_seeds_are_rare_in_every_stretch():
     frequency = {int(g): (1000 if k % 6 else 1) for k, g in enumerate(items.grams)}
     seeds = choose_seeds(items, frequency)
     assert set(range(0, len(items.grams), 6)) <= set(seeds.tolist()) and len(seeds) < len(items.grams)
+    # All rare n-grams are seeds; a stretch without enough of them has its least frequent ones.
+    rising = {int(g): k + 1 for k, g in enumerate(items.grams)}
+    assert choose_seeds(items, rising).tolist() == [0, 1, 2, 6, 7, 8, 12, 13]
+    assert choose_seeds(items, rising, rare=5).tolist() == [0, 1, 2, 3, 4, 6, 7, 8, 12, 13]
+    assert choose_seeds(items, {}).tolist() == []
     (group,) = folded_groups(pa.array(["(Größe!) --- ok."]))
     assert bare_words(group).per_text.tolist() == [2]
 
 
+def test_only_seeds_lead_to_items(spark, monkeypatch):
+    rnd = random.Random(3)
+    items = [(k, " ".join(f"v{rnd.randrange(400)}" for _ in range(20))) for k in range(30)]
+    docs = [(k, f"before it {items[k % 30][1]} and behind") for k in range(60)]
+    docs, items = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert contaminated(docs, items).count() == 60
+    monkeypatch.setattr(dc, "choose_seeds", lambda *_: np.zeros(0, np.int64))
+    assert contaminated(docs, items).count() == 0
+
+
+def test_edited_copies_beside_exact_ones(spark):
+    """Exact copies make the n-grams that edits break as frequent as the others; each edited copy is still found."""
+    rnd = random.Random(13)
+    items = [[f"v{rnd.randrange(3000)}" for _ in range(24)] for _ in range(18)]
+    rows, expected = [], set()
+    for i, item in enumerate(items):
+        around = lambda: [f"v{rnd.randrange(3000)}" for _ in range(20)]
+        copies = [item] * 5 + [edited(item, every, how) for every in (4, 5, 6) for how in ("replaced", "inserted", "deleted")]
+        for copy in copies:
+            expected.add((len(rows), i))
+            rows.append((len(rows), " ".join(around() + copy + around())))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()}
+    brute = {(d, i) for d, i in expected if brute_alignment(items[i], rows[d][1].split()) >= 24}
+    assert found == brute and len(brute) >= 0.8 * len(expected)
+
+
+def test_passages_cover_every_hit_that_can_count():
+    """Small blocks of hits give the same pairs; a passage lies around each seed, and holds the words it must."""
+    rnd = random.Random(8)
+    vocabulary = [f"v{k}" for k in range(12)]
+    column = pa.array([" ".join(rnd.choice(vocabulary) for _ in range(rnd.choice([3, 8, 15]))) for _ in range(40)])
+    items = Items.of(list(range(40)), column)
+    texts = pa.array([" ".join(rnd.choice(vocabulary) for _ in range(n)) for n in (0, 2, 300, 50, 1000)])
+    (group,) = folded_groups(texts)
+    words = bare_words(group)
+    seeds = dc.Seeds.of(items, np.arange(len(items.grams)))
+    lookup = dc.Lookup(seeds.grams)
+    seen = []
+    for hits in (1 << 19, 7):
+        dc.HITS, kept = hits, dc.HITS
+        try:
+            seen.append({p for some in dc.passages(words, items, seeds, lookup, 0.5) for p in zip(*(x.tolist() for x in some))})
+        finally:
+            dc.HITS = kept
+    assert seen[0] == seen[1] and len(seen[0]) > 100
+    starts = np.cumsum(words.per_text) - words.per_text
+    word = words.hash.tolist()
+    for i in range(40):
+        item = items.words[items.bounds[i] : items.bounds[i + 1]].tolist()
+        for t in range(5):
+            at, end = int(starts[t]), int(starts[t] + words.per_text[t])
+            for w in range(at, end - 2):
+                for k in range(len(item) - 2):
+                    if word[w : w + 3] != item[k : k + 3]:
+                        continue
+                    spare = len(item) // 3 + 4
+                    low, high = max(w - k - spare, at), min(w - k + len(item) + spare, end)
+                    held = sum(x in word[low:high] for x in item)
+                    around = [p for p in seen[0] if p[:2] == (t, i) and p[2] <= low and high <= p[3]]
+                    assert around or held < math.ceil(0.5 * len(item))
+    for t, i, low, high in seen[0]:
+        item = items.words[items.bounds[i] : items.bounds[i + 1]].tolist()
+        assert sum(x in word[low:high] for x in item) >= math.ceil(0.5 * len(item))
+        assert high - low <= 2 * (len(item) + 2 * (len(item) // 3 + 4))
+
+
+def test_an_n_gram_of_many_items(spark):
+    rnd = random.Random(9)
+    own = lambda n: " ".join(f"q{rnd.randrange(10**6)}" for _ in range(n))
+    items = [(k, f"what is the {own(17)}") for k in range(4000)]
+    docs = [(k, " ".join(f"{own(5)} what is the" for _ in range(20))) for k in range(50)] + [(99, f"{own(30)} {items[7][1]}")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = contaminated(frame, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert [(r["doc_id"], r["item_id"], r["score"]) for r in found.collect()] == [(99, 7, 1.0)]
+
+
 def test_licences(spark, docs, no_docs):
     mit = "\n\n".join(
         ["MIT License", "Copyright (c) 2020 Someone"]
