@@ -16,8 +16,8 @@ from termloom import (
     vector_search,
     write_results,
 )
-from termloom.sources.documents import html_pages, page_documents
-from termloom.sources import index_store
+from termloom.sources.documents import _passed_over, html_pages, page_documents
+from termloom.sources import documents, index_store
 from termloom.sources.index_store import compact_loads, is_index, known_among, load_names
 
 
@@ -143,6 +143,20 @@ def test_every_file_counts_under_its_own_name(spark, tmp_path, doc_id):
     assert index_folder(spark, str(tmp_path / "in"), str(tmp_path / "ix"), "a").doc_stats.count() == len(NAMES)
 
 
+def test_folders_are_listed_many_at_a_time(spark, tmp_path, monkeypatch):
+    for n in range(300):
+        (tmp_path / "in" / f"{n % 3}" / f"d{n}").mkdir(parents=True)
+        (tmp_path / "in" / f"{n % 3}" / f"d{n}" / ("_x" if n % 100 == 0 else "x")).write_text("" if n % 50 == 1 else "storm")
+    client, sent = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda command, *a, **k: (sent.append(command), send(command, *a, **k))[1])
+    found = sorted((path.split("/in/")[1], n) for path, n in _passed_over(spark, str(tmp_path / "in")))
+    assert found == sorted([(f"{n % 3}/d{n}/_x", 5) for n in (0, 100, 200)] + [(f"{n % 3}/d{n}/x", 0) for n in range(1, 300, 50)])
+    assert len(sent) < 300
+    monkeypatch.setattr(documents, "LISTED", 7)
+    assert sorted((path.split("/in/")[1], n) for path, n in _passed_over(spark, str(tmp_path / "in"))) == found
+
+
 def test_stemmed_folder(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x").write_text("Hurricanes hurricane knives")
