@@ -12,7 +12,7 @@ from ..functions.fixed_values import STOPWORDS
 from ..index import Index
 from ..session import stage
 from .boolean import flag_predicate, holds_for_none, prepare_clauses
-from .joins import fits_broadcast, join_small_or_hot, pair_all
+from .joins import fits_broadcast, join_small_or_hot, pair_all, tasks_for
 from .numbering import number_rows
 
 WORD_BITS = 64
@@ -48,9 +48,11 @@ def write_bitmaps(index: Index, path: str) -> Bitmaps:
         "doc_id", F.expr(f"(number - 1) div {WORD_BITS}").alias("word"), F.pmod(place, F.lit(WORD_BITS)).cast("int").alias("bit")
     )
     numbered = stage(numbered, "numbered-documents")
-    held = index.postings.select("term", "doc_id").join(numbered, "doc_id")
+    tasks = tasks_for(index.postings)
+    held = index.postings.select("term", "doc_id").repartition(tasks, "doc_id").join(numbered, "doc_id")
+    held = held.select("term", "word", "bit").repartition(tasks, "term", "word")
     words = held.groupBy("term", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    words.repartitionByRange("term", "word").sortWithinPartitions("term", "word").write.parquet(f"{path}/words")
+    words.repartitionByRange(tasks, "term", "word").sortWithinPartitions("term", "word").write.parquet(f"{path}/words")
     ids = F.transform(F.sort_array(F.collect_list(F.struct("bit", "doc_id"))), lambda d: d["doc_id"])
     docs = numbered.groupBy("word").agg(ids.alias("ids"))
     docs.repartitionByRange("word").sortWithinPartitions("word").write.parquet(f"{path}/docs")

@@ -5,7 +5,9 @@ import re
 from pyspark.sql import functions as F
 
 from termloom import add_documents, boolean_search, index_documents, lay_out, open_index, vector_bulk, vector_search
-from termloom.operators.counts import doc_norms, term_counts
+from termloom.operators import joins
+from termloom.operators.bitmaps import write_bitmaps
+from termloom.operators.counts import doc_norms, posting_lists, term_counts
 from termloom.sources.documents import first_per_document
 
 
@@ -94,3 +96,18 @@ def test_a_rare_term_reads_few_row_groups_of_many_loads(spark, tmp_path):
     assert [r["doc_id"] for r in found.collect()] == [3077]
     assert 0 < rows_read(found) <= 900 and index.postings.count() == 6 * 900
     assert rows_read(index.postings.filter("term = 'storm9x9'").select("doc_id")) == 0
+
+
+def test_tasks_follow_the_input(spark, tmp_path, monkeypatch):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("storm wind w"), "id").alias("text"))
+    monkeypatch.setattr(joins, "TASK_TEXT", 500)
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    for frame in (term_counts(docs), term_counts(docs, stem=True), doc_norms(docs)):
+        assert 25 <= int(re.search(r"hashpartitioning\(doc_id#\w+, (\d+)\)", plan(frame))[1]) <= 40
+    add_documents(docs, str(tmp_path / "ix"), "a")
+    index = open_index(spark, str(tmp_path / "ix"))
+    assert len(index.postings.inputFiles()) >= 20
+    assert "segment#" in re.search(r"hashpartitioning\(.*, 30\)", plan(posting_lists(index, 10)))[0]
+    words = write_bitmaps(index, str(tmp_path / "maps")).words
+    assert len(words.inputFiles()) >= 20
+    assert words.agg(F.sum(F.bit_count("bits"))).first()[0] == index.postings.count() == 3000
