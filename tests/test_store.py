@@ -16,7 +16,7 @@ from termloom import (
     vector_search,
     write_results,
 )
-from termloom.sources.documents import _passed_over, html_pages, page_documents
+from termloom.sources.documents import _passed_over, html_pages, page_documents, write_text_folder
 from termloom.sources import documents, index_store
 from termloom.sources.index_store import compact_loads, is_index, known_among, load_names
 
@@ -157,6 +157,18 @@ def test_folders_are_listed_many_at_a_time(spark, tmp_path, monkeypatch):
     assert sorted((path.split("/in/")[1], n) for path, n in _passed_over(spark, str(tmp_path / "in"))) == found
 
 
+def test_text_folder_is_written_into_place(spark, tmp_path):
+    rows = [(2, "b"), (1, "a"), (2, None), (None, "κ")]
+    texts = spark.createDataFrame(rows, "page_id bigint, text string").coalesce(1)
+    write_text_folder(texts, "page_id", str(tmp_path / "out"))
+    files = {str(p.relative_to(tmp_path / "out")): p.read_text("utf-8") for p in (tmp_path / "out").rglob("*.*")}
+    part = "part-00000.txt"
+    assert files.pop(f"page_id=2/{part}") in ("b\n\n", "\nb\n")
+    assert files == {f"page_id=1/{part}": "a\n", f"page_id=__HIVE_DEFAULT_PARTITION__/{part}": "κ\n"}
+    write_text_folder(texts.limit(0), "page_id", str(tmp_path / "none"))
+    assert read_text_folder(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_stemmed_folder(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x").write_text("Hurricanes hurricane knives")
