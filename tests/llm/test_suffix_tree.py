@@ -55,3 +55,14 @@ def test_words_are_numbered_by_falling_count():
     counts = st.WordCounts(counts=st.np.array([9, 4, 1]), last=st.np.array([1, 3, 7]), end=2, n_tokens=21, n_words=7)
     assert counts.of(st.np.arange(8)).tolist() == [0, 9, 4, 4, 1, 1, 1, 1]
     assert [counts.at_least(n) for n in (10, 9, 5, 4, 0)] == [0, 1, 1, 3, 7]
+
+
+def test_starts_of_texts_are_dealt_to_all_buckets_of_the_end():
+    """Nothing stands before a start, and there are as many as texts."""
+    frequent = st.Frequent(plain=3)
+    frequent.add(st.np.array([-1]), st.np.array([7]), st.np.array([5]))
+    starts = [st.np.full(1000, 7, "uint32"), *(st.np.zeros(1000, "uint32") for _ in range(3))]
+    sizes = st.np.bincount(frequent.bucket(starts), minlength=8)
+    assert not sizes[:3].any() and sizes[3:].max() < 300
+    older = [starts[0], st.np.full(1000, 9, "uint32"), *starts[2:]]
+    assert len(set(frequent.bucket(older))) == 1
